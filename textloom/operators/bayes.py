@@ -90,14 +90,15 @@ def scores(model: BayesModel, docs: DataFrame, counts: DataFrame, id_column: str
     classes = packed_rows(model.classes, ["label", "base", "unseen"])
     known = lookup_join(counts.select(id_column, "term", value), model.terms, ["term"], "df", [id_column])
     parts = F.transform(
-        classes,
+        "_classes",
         lambda c: F.struct(
             c["label"].alias("label"),
             (F.col(value) * (c["unseen"] + F.coalesce(F.col("extra")[c["label"]], F.lit(0.0)))).alias("part"),
         ),
     )
-    bases = F.transform(classes, lambda c: F.struct(c["label"].alias("label"), c["base"].alias("part")))
-    summands = docs.select(id_column, F.inline(bases)).unionByName(known.select(id_column, F.inline(parts)))
+    bases = F.transform("_classes", lambda c: F.struct(c["label"].alias("label"), c["base"].alias("part")))
+    starts = docs.select(id_column).withColumn("_classes", classes).select(id_column, F.inline(bases))
+    summands = starts.unionByName(known.withColumn("_classes", classes).select(id_column, F.inline(parts)))
     return summands.groupBy(id_column, "label").agg(F.sum("part").alias("score"))
 
 
@@ -133,9 +134,8 @@ def topic_predictions(
     two scores only matter by their difference, which for a term that never met a topic
     depends on the term's totals alone, so no topic-by-term grid is shuffled.
     """
-    wanted = packed_rows(topics, ["topic"])
-    names = F.transform(wanted, lambda t: t["topic"])
-    listed = train.select(id_column, F.array_intersect("topics", names).alias("_topics"))
+    wanted = train.withColumn("_wanted", packed_rows(topics, ["topic"]))
+    listed = wanted.select(id_column, F.array_intersect("topics", F.col("_wanted.topic")).alias("_topics"))
     n_train = train.agg(F.count(F.lit(1))).scalar()
     counted = train_counts.join(listed, id_column)
     totals = counted.groupBy("term").agg(F.sum("tf").alias("s"), F.count(F.lit(1)).alias("d"))
@@ -167,8 +167,8 @@ def topic_predictions(
         rest = (t["n0"] - (F.col("d") - d1) + 1) / (t["n0"] + 2)
         return F.log(one) - F.log(rest)
 
-    penalties = terms.select(
-        F.inline(F.transform(packed, lambda t: F.struct(t["topic"].alias("topic"), absent(t).alias("absent"))))
+    penalties = terms.withColumn("_facts", packed).select(
+        F.inline(F.transform("_facts", lambda t: F.struct(t["topic"].alias("topic"), absent(t).alias("absent"))))
     ).groupBy("topic").agg(F.sum("absent").alias("absent"))
     prior = F.log(F.col("n1") / F.col("n0"))
     bases = packed_rows(
@@ -188,7 +188,7 @@ def topic_predictions(
 
     weighted = terms.withColumn("_weight", F.col("d"))
     known = lookup_join(test_counts, weighted, ["term"], "_weight", [id_column])
-    parts = known.select(id_column, F.inline(F.transform(packed, term_parts)))
+    parts = known.withColumn("_facts", packed).select(id_column, F.inline(F.transform("_facts", term_parts)))
     starts = test.select(id_column, F.inline(bases))
     sums = starts.unionByName(parts).groupBy(id_column, "topic").agg(F.sum("mnb").alias("mnb"), F.sum("bnb").alias("bnb"))
     return sums.join(test.select(id_column, "topics"), id_column).select(

@@ -17,15 +17,16 @@ RANGES = 256
 DIRECT_TOP = 10_000
 
 
-def _range_of(df: DataFrame, key: str, ranges: int) -> Column:
-    """Number of the range that ``key`` falls in.
+def _with_range(df: DataFrame, key: str, ranges: int) -> DataFrame:
+    """Add ``_range``, the number of the range that ``key`` falls in.
 
     The cut points are a hash sample of the keys. They only steer the balance: any cut
     points give the same result.
     """
     sample = df.select(key).orderBy(F.xxhash64(key), key).limit(ranges - 1)
     cuts = sample.agg(F.array_sort(F.collect_set(key))).scalar()
-    return F.size(F.filter(cuts, lambda cut: cut <= F.col(key)))
+    placed = df.withColumn("_cuts", cuts)
+    return placed.withColumn("_range", F.size(F.filter("_cuts", lambda cut: cut <= F.col(key)))).drop("_cuts")
 
 
 def _offsets(df: DataFrame, group: str, size: Column) -> DataFrame:
@@ -37,7 +38,7 @@ def _offsets(df: DataFrame, group: str, size: Column) -> DataFrame:
 
 def global_row_number(df: DataFrame, key: str, name: str, ranges: int = RANGES) -> DataFrame:
     """Number the rows from 0 in the order of the unique column ``key``."""
-    ranged = df.withColumn("_range", _range_of(df, key, ranges))
+    ranged = _with_range(df, key, ranges)
     within = F.row_number().over(Window.partitionBy("_range").orderBy(key)).cast("bigint") - 1
     numbered = ranged.withColumn("_within", within)
     offsets = _offsets(ranged, "_range", F.count(F.lit(1)))
@@ -50,7 +51,7 @@ def global_row_number(df: DataFrame, key: str, name: str, ranges: int = RANGES)
 
 def with_next(df: DataFrame, key: str, value: str, name: str, ranges: int = RANGES) -> DataFrame:
     """Add ``value`` of the following row in the order of the unique column ``key``; NULL at the end."""
-    ranged = df.withColumn("_range", _range_of(df, key, ranges))
+    ranged = _with_range(df, key, ranges)
     within = ranged.withColumn("_next", F.lead(F.struct(value)).over(Window.partitionBy("_range").orderBy(key)))
     heads = ranged.groupBy("_range").agg(F.min_by(value, key).alias("_head"))
     after = heads.select("_range", F.lead("_head").over(Window.orderBy("_range")).alias("_after"))
@@ -94,7 +95,8 @@ def percentiles(df: DataFrame, column: str, shares: Sequence[float], ranges: int
     counts = counts.agg(F.count(F.lit(1)).alias("_n"))
     marks = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
     cuts = counts.agg(F.array_distinct(F.percentile_approx("_v", marks, F.lit(4 * ranges)))).scalar()
-    ranged = counts.withColumn("_range", F.size(F.filter(cuts, lambda cut: cut < F.col("_v"))))
+    placed = counts.withColumn("_cuts", cuts)
+    ranged = placed.withColumn("_range", F.size(F.filter("_cuts", lambda cut: cut < F.col("_v")))).drop("_cuts")
     sizes = ranged.groupBy("_range").agg(F.sum("_n").alias("_size"))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     spans = sizes.select(

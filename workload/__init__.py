@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 from types import ModuleType
 
-MODULES = ["text"]
+MODULES = ["text", "models"]
 
 
 def load_all() -> ModuleType:
