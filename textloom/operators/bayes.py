@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from textloom.operators.ordering import top_per_group
 from textloom.operators.skew import lookup_join, packed_rows
+from textloom.session import cut_lineage
 
 
 class BayesModel(NamedTuple):
@@ -41,19 +42,26 @@ def _terms(seen: DataFrame, extra: Column) -> DataFrame:
     )
 
 
+def _stored(classes: DataFrame, terms: DataFrame, seen: DataFrame) -> BayesModel:
+    """Write the model's two tables, so that scoring does not fit again."""
+    model = BayesModel(cut_lineage(classes), cut_lineage(terms))
+    seen.unpersist()
+    return model
+
+
 def fit_multinomial(docs: DataFrame, counts: DataFrame, id_column: str, value: str = "tf", alpha: float = 1.0) -> BayesModel:
     """Fit on ``docs`` (id, ``label``) and ``counts`` (id, ``term``, value); values may be fractions."""
-    seen = _class_term_counts(docs, counts, id_column, value)
+    seen = _class_term_counts(docs, counts, id_column, value).persist()
     v = seen.agg(F.count_distinct("term")).scalar()
     totals = seen.groupBy("label").agg(F.sum("s").alias("total"))
     sizes = _class_sizes(docs).join(totals, "label", "left").withColumn("total", F.coalesce("total", F.lit(0)))
     classes = sizes.select("label", F.col("prior").alias("base"), F.log(alpha / (F.col("total") + alpha * v)).alias("unseen"))
-    return BayesModel(classes, _terms(seen, F.log((F.col("s") + alpha) / alpha)))
+    return _stored(classes, _terms(seen, F.log((F.col("s") + alpha) / alpha)), seen)
 
 
 def fit_bernoulli(docs: DataFrame, counts: DataFrame, id_column: str, value: str = "tf", alpha: float = 1.0) -> BayesModel:
     """Fit on term presence. The penalty for absent terms is part of ``base``, so scoring stays sparse."""
-    seen = _class_term_counts(docs, counts, id_column, value)
+    seen = _class_term_counts(docs, counts, id_column, value).persist()
     v = seen.agg(F.count_distinct("term")).scalar()
     sizes = _class_sizes(docs)
     room = F.col("n_docs") + 2 * alpha
@@ -68,7 +76,7 @@ def fit_bernoulli(docs: DataFrame, counts: DataFrame, id_column: str, value: str
     )
     present = F.log((F.col("d") + alpha) / (F.col("n_docs") - F.col("d") + alpha))
     extra = present - (F.log(F.lit(alpha)) - F.log(F.col("n_docs") + alpha))
-    return BayesModel(classes, _terms(with_sizes, extra))
+    return _stored(classes, _terms(with_sizes, extra), seen)
 
 
 def _with_class_columns(seen: DataFrame, sizes: DataFrame) -> DataFrame:
@@ -148,10 +156,11 @@ def topic_predictions(
     sizes = listed.select(F.explode("_topics").alias("topic")).groupBy("topic").agg(F.count(F.lit(1)).alias("n1"))
     ones = mine.groupBy("topic").agg(F.sum("s1").alias("t1"))
     overall = totals.agg(F.sum("s").alias("t"), F.count(F.lit(1)).alias("v"))
-    facts = topics.join(sizes, "topic").join(ones, "topic", "left").select(
+    n1 = F.coalesce("n1", F.lit(0))
+    facts = topics.join(sizes, "topic", "left").join(ones, "topic", "left").select(
         "topic",
-        "n1",
-        (n_train - F.col("n1")).alias("n0"),
+        n1.alias("n1"),
+        (n_train - n1).alias("n0"),
         F.coalesce("t1", F.lit(0)).alias("t1"),
         overall.select("t").scalar().alias("t"),
         overall.select("v").scalar().alias("v"),
@@ -170,7 +179,9 @@ def topic_predictions(
     penalties = terms.withColumn("_facts", packed).select(
         F.inline(F.transform("_facts", lambda t: F.struct(t["topic"].alias("topic"), absent(t).alias("absent"))))
     ).groupBy("topic").agg(F.sum("absent").alias("absent"))
-    prior = F.log(F.col("n1") / F.col("n0"))
+    # A topic that no or every training row has leaves one class to predict.
+    one_sided = F.when(F.col("n1") == 0, F.lit(float("-inf"))).when(F.col("n0") == 0, F.lit(float("inf")))
+    prior = one_sided.otherwise(F.log(F.col("n1") / F.col("n0")))
     bases = packed_rows(
         facts.join(penalties, "topic", "left").select(
             "topic", prior.alias("mnb"), (prior + F.coalesce("absent", F.lit(0.0))).alias("bnb")

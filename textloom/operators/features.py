@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,10 +24,14 @@ def word_ngrams(tokens: Column, low: int, high: int) -> Column:
             continue
         size = F.greatest(F.size(tokens) - (n - 1), F.lit(0))
         shifted = F.arrays_zip(*[F.slice(tokens, F.lit(k + 1), size).alias(f"t{k}") for k in range(n)])
-        parts.append(F.transform(shifted, lambda w, n=n: F.concat_ws(" ", *[w[f"t{k}"] for k in range(n)])))
+        parts.append(F.transform(shifted, _joiner(n)))
     return F.concat(*parts) if len(parts) > 1 else parts[0]
 
 
+def _joiner(n: int) -> Callable[[Column], Column]:
+    return lambda run: F.concat_ws(" ", *[run[f"t{k}"] for k in range(n)])
+
+
 def term_counts(df: DataFrame, id_column: str, terms: Column | None = None, text: str = "text") -> DataFrame:
     """Rows (id, ``term``, ``tf``); by default terms are lower-case words of two or more characters."""
     terms = long_words(text) if terms is None else terms

@@ -21,7 +21,8 @@ def _with_range(df: DataFrame, key: str, ranges: int) -> DataFrame:
     """Add ``_range``, the number of the range that ``key`` falls in.
 
     The cut points are a hash sample of the keys. They only steer the balance: any cut
-    points give the same result.
+    points give the same result, as long as every use of the table sees the same ones,
+    which a hash guarantees and an approximate sketch would not.
     """
     sample = df.select(key).orderBy(F.xxhash64(key), key).limit(ranges - 1)
     cuts = sample.agg(F.array_sort(F.collect_set(key))).scalar()
@@ -88,15 +89,12 @@ def top_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column |
 def percentiles(df: DataFrame, column: str, shares: Sequence[float], ranges: int = 1024) -> DataFrame:
     """Exact interpolated percentiles as rows (``share``, ``value``).
 
-    Equal values are counted first. Cut points from an approximate sketch split the distinct
-    values into ranges, and only the ranges that hold a wanted position are sorted.
+    Equal values are counted first, then the distinct values are cut into ranges, and only
+    the ranges that hold a wanted position are sorted.
     """
     counts = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).cast("double").alias("_v"))
     counts = counts.agg(F.count(F.lit(1)).alias("_n"))
-    marks = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
-    cuts = counts.agg(F.array_distinct(F.percentile_approx("_v", marks, F.lit(4 * ranges)))).scalar()
-    placed = counts.withColumn("_cuts", cuts)
-    ranged = placed.withColumn("_range", F.size(F.filter("_cuts", lambda cut: cut < F.col("_v")))).drop("_cuts")
+    ranged = _with_range(counts, "_v", ranges)
     sizes = ranged.groupBy("_range").agg(F.sum("_n").alias("_size"))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     spans = sizes.select(
@@ -104,8 +102,7 @@ def percentiles(df: DataFrame, column: str, shares: Sequence[float], ranges: int
         "_size",
         F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"),
         F.sum("_size").over(Window.partitionBy()).alias("_total"),
-        F.explode(F.array(*[F.lit(float(s)) for s in shares])).alias("share"),
-    )
+    ).withColumn("share", F.explode(F.array(*[F.lit(float(s)) for s in shares])))
     position = F.col("share") * (F.col("_total") - 1)
     places = spans.select(
         "_range",

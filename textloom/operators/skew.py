@@ -74,7 +74,12 @@ def packed_rows(df: DataFrame, columns: Sequence[str], limit: int = 10_000) -> C
 
     Two stages keep the failing case cheap: every task passes on ``limit`` + 1 rows at most.
     """
+    return packed_table(df, columns, limit).scalar()
+
+
+def packed_table(df: DataFrame, columns: Sequence[str], limit: int = 10_000, name: str = "rows") -> DataFrame:
+    """A small table as one row with one array column, sorted by ``columns``; fails above ``limit`` rows."""
     few = df.select(*columns).limit(limit + 1)
     rows = F.sort_array(F.collect_list(F.struct(*columns)))
     message = F.lit(f"more than {limit} rows where a small table is needed")
-    return few.agg(F.when(F.count(F.lit(1)) > limit, F.raise_error(message)).otherwise(rows)).scalar()
+    return few.agg(F.when(F.count(F.lit(1)) > limit, F.raise_error(message)).otherwise(rows).alias(name))

@@ -64,11 +64,10 @@ def properties(
 
     def last_value(key: str) -> Column:
         same = F.filter(F.col("_cells"), lambda c: (c["key"] == key) & c["value"].isNotNull())
-        return F.element_at(F.transform(same, lambda c: c["value"]), -1)
+        return F.try_element_at(F.transform(same, lambda c: c["value"]), F.lit(-1))
 
     listed = with_table.withColumn("_cells", cells)
-    values = [F.when(F.exists("_cells", lambda c, k=k: c["key"] == k), last_value(k)).alias(name) for k, name in fields.items()]
-    return listed.select(*pages.columns, *values)
+    return listed.select(*pages.columns, *[last_value(key).alias(name) for key, name in fields.items()])
 
 
 def complete(df: DataFrame, fields) -> DataFrame:
