@@ -10,7 +10,7 @@ import string
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.ml.feature import StopWordsRemover
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Character classes (inside of a bracket expression).
@@ -33,6 +33,14 @@ def bind(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), lambda v: use(v)), F.lit(0))
 
 
+def once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column that is computed once per row, however often later steps and filters use it.
+
+    A plain column would be copied into each filter that the optimizer moves below it.
+    """
+    return df.withColumn(name, F.explode(F.array(value)))
+
+
 def as_column(c: Text) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -118,10 +126,12 @@ def drop_short_and_digits(tokens: Column) -> Column:
 def treebank_words(c: Column) -> Column:
     """Tokens of lower-case text without ASCII punctuation under the Treebank rules."""
     spaced = F.regexp_replace(c, f"({QUOTES})", " $1 ")
-    for pair in SPLIT_WORDS:
-        left, right = pair.split("|")
-        spaced = F.regexp_replace(spaced, f"(?<![{WORD}]){left}{right}(?![{WORD}])", f" {left} {right} ")
-    return split_space(spaced)
+    pairs = [pair.split("|") for pair in SPLIT_WORDS]
+    either = "|".join(f"({left})({right})" for left, right in pairs)
+    lefts = "".join(f"${2 * i + 1}" for i in range(len(pairs)))
+    rights = "".join(f"${2 * i + 2}" for i in range(len(pairs)))
+    cut = F.regexp_replace(spaced, f"(?<![{WORD}])(?:{either})(?![{WORD}])", f" {lefts} {rights} ")
+    return split_space(cut)
 
 
 def is_numeric(c: Text) -> Column:

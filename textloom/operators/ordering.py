@@ -6,6 +6,7 @@ one row per range is ever brought together.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -22,12 +23,20 @@ def _with_range(df: DataFrame, key: str, ranges: int) -> DataFrame:
 
     The cut points are a hash sample of the keys. They only steer the balance: any cut
     points give the same result, as long as every use of the table sees the same ones,
-    which a hash guarantees and an approximate sketch would not.
+    which a hash guarantees and an approximate sketch would not. A key is compared with
+    every ``width``-th cut first and then within one block of cuts.
     """
+    width = math.isqrt(ranges)
     sample = df.select(key).orderBy(F.xxhash64(key), key).limit(ranges - 1)
-    cuts = sample.agg(F.array_sort(F.collect_set(key))).scalar()
-    placed = df.withColumn("_cuts", cuts)
-    return placed.withColumn("_range", F.size(F.filter("_cuts", lambda cut: cut <= F.col(key)))).drop("_cuts")
+    cuts = sample.agg(F.array_sort(F.collect_set(key)).alias("cuts"))
+    starts = F.sequence(F.lit(0), F.size("cuts"), F.lit(width))
+    blocks = F.transform(starts, lambda i: F.slice("cuts", i + 1, F.lit(width - 1)))
+    heads = F.filter("cuts", lambda cut, i: i % width == width - 1)
+    packed = cuts.select(F.struct(heads.alias("heads"), blocks.alias("blocks")))
+    placed = df.withColumn("_cuts", packed.scalar())
+    placed = placed.withColumn("_block", F.size(F.filter("_cuts.heads", lambda cut: cut <= F.col(key))))
+    within = F.size(F.filter(F.get("_cuts.blocks", F.col("_block")), lambda cut: cut <= F.col(key)))
+    return placed.withColumn("_range", F.col("_block") * width + within).drop("_cuts", "_block")
 
 
 def _offsets(df: DataFrame, group: str, size: Column) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HOT_KEYS = 1000
-SALTS = 64
+SALTS = 32
 
 
 def _spread(by: Sequence[str], buckets: int) -> Column:
@@ -27,18 +27,17 @@ def lookup_join(
     """Join ``fact`` to ``dim``, which has one row per key.
 
     ``weight`` is a column of ``dim``: how many fact rows the key has (an estimate from other
-    data is fine, it only steers the plan). Keys above 1/``hot_keys`` of the total weight
-    are fewer than ``hot_keys``, so they are broadcast; fact rows that found one there are
-    spread by the hash of ``spread_by`` and pass the shuffle join of the remaining keys
-    without a partner. ``weight`` is not part of the result.
+    data is fine, it only steers the plan). The ``hot_keys`` heaviest keys are broadcast, a
+    fixed number; every other key has less than 1/``hot_keys`` of the rows. Fact rows that
+    found a hot key are spread by the hash of ``spread_by`` and pass the shuffle join without
+    a partner. ``weight`` is not part of the result.
     """
     on = list(on)
     extra = [c for c in dim.columns if c not in on and c != weight]
     packed = dim.select(*on, F.col(weight).alias("_weight"), F.struct(F.lit(True).alias("_"), *extra).alias("_dim"))
-    total = packed.agg(F.sum("_weight")).scalar()
-    is_hot = F.col("_weight") * F.lit(hot_keys) > total
-    hot = packed.filter(is_hot).select(*on, F.col("_dim").alias("_hot"))
-    cold = packed.filter(~is_hot).select(*on, F.lit(0).alias("_salt"), F.col("_dim").alias("_cold"))
+    heaviest = packed.orderBy(F.desc("_weight"), *on).limit(hot_keys)
+    hot = heaviest.select(*on, F.col("_dim").alias("_hot"))
+    cold = packed.select(*on, F.lit(0).alias("_salt"), F.col("_dim").alias("_cold"))
     probed = fact.join(F.broadcast(hot), on, "left").withColumn(
         "_salt", F.when(F.col("_hot").isNull(), 0).otherwise(_spread(spread_by, 1 << 20) + 1)
     )

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textloom.functions.markup import attributes, raw_tag_text, tag_items, tag_text, unescape
+from textloom.functions.text import once
 
 # The record element and the accepted values of its attributes.
 RECORD = "REUTERS"
@@ -41,15 +42,16 @@ def split_record(df: DataFrame, text: str, tag: str = RECORD) -> DataFrame:
 
 def labelled_records(records: DataFrame) -> DataFrame:
     """Records with topics of a known split: head and content turned into columns."""
-    values = attributes(F.col("head"))
-    kept = records.withColumn("_values", values).filter((F.col("_values")["topics"] == "YES") & F.col("_values")["lewissplit"].isin(SPLITS))
+    values = once(records, "_values", attributes(F.col("head")))
+    kept = values.filter((F.col("_values")["topics"] == "YES") & F.col("_values")["lewissplit"].isin(SPLITS))
+    body = once(kept, "body_text", tag_text("content", "BODY"))
     others = [c for c in records.columns if c not in ("head", "content")]
-    return kept.select(
+    return body.select(
         *others,
         F.col("_values")["topics"].alias("topics_present"),
         F.col("_values")["lewissplit"].alias("lewissplit"),
         F.array_join(tag_items(tag_text("content", "TOPICS")), ",").alias("topics"),
-        tag_text("content", "BODY").alias("body_text"),
+        "body_text",
     )
 
 

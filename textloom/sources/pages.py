@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.functions.markup import absolute_url, attributes, inner_text, joined_text, unescape
-from textloom.functions.text import bind, collapse_space, strip
+from textloom.functions.text import bind, collapse_space, once, strip
 
 # The properties of a book and the names they get.
 BOOK_FIELDS = {
@@ -41,7 +41,7 @@ def first_link(pages: DataFrame, phrase: str, url: str = "url", html: str = "htm
     """Add the first link whose text holds ``phrase``, absolute; pages without one are dropped."""
     anchors = F.regexp_extract_all(F.col(html), F.lit(ANCHOR), F.lit(0))
     wanted = F.get(F.filter(anchors, lambda a: F.contains(inner_text(a), F.lit(phrase))), F.lit(0))
-    found = pages.withColumn("_anchor", wanted).filter("_anchor IS NOT NULL")
+    found = once(pages, "_anchor", wanted).filter("_anchor IS NOT NULL")
     return found.withColumn(name, absolute_url(url, _href(F.col("_anchor")))).drop("_anchor")
 
 
@@ -66,8 +66,9 @@ def properties(
         same = F.filter(F.col("_cells"), lambda c: (c["key"] == key) & c["value"].isNotNull())
         return F.try_element_at(F.transform(same, lambda c: c["value"]), F.lit(-1))
 
-    listed = with_table.withColumn("_cells", cells)
-    return listed.select(*pages.columns, *[last_value(key).alias(name) for key, name in fields.items()])
+    listed = once(with_table, "_cells", cells)
+    record = F.struct(*[last_value(key).alias(name) for key, name in fields.items()])
+    return once(listed, "_record", record).select(*pages.columns, *[F.col(f"_record.`{name}`").alias(name) for name in fields.values()])
 
 
 def complete(df: DataFrame, fields) -> DataFrame:
@@ -92,10 +93,8 @@ def chart_rows(pages: DataFrame, row_class: str = CHART_ROW, label_class: str =
     labels = F.regexp_extract_all(F.col("_row"), F.lit(label), F.lit(1))
     artist = bind(labels, lambda ls: F.when(F.size(ls) >= 2, F.get(ls, F.lit(1))).otherwise(F.get(ls, F.lit(0))))
     heading = F.regexp_extract("_row", r"(?is)<h3\b[^>]*>(.*?)</h3>", 1)
-    cut = entries.select(
-        *others,
-        F.col("pos").cast("bigint").alias("pos"),
-        collapse_space(joined_text(heading)).alias("title"),
-        collapse_space(joined_text(artist)).alias("artist"),
+    named = F.struct(
+        collapse_space(joined_text(heading)).alias("title"), collapse_space(joined_text(artist)).alias("artist")
     )
+    cut = once(entries, "_entry", named).select(*others, F.col("pos").cast("bigint").alias("pos"), "_entry.*")
     return cut.filter((F.col("title") != "") & (F.col("artist") != ""))
