@@ -20,7 +20,7 @@ def test_no_python_workers(spark, name):
 
 
 def test_rank_bound_is_applied_before_the_shuffle(spark):
-    df = spark.range(100).withColumn("g", F.lit(1))
+    df = spark.range(100).withColumn("g", F.col("id") % 3)
     assert plan_of(ordering.top_per_group(df, ["g"], ["id"], 3, "r")).count("WindowGroupLimit") == 2
     assert "WindowGroupLimit" in plan_of(profile.deduplicate(df, ["g"], "id"))
 

@@ -115,7 +115,7 @@ def absolute_url(base: Text, link: Text) -> Column:
         F.when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), link)
         .when(F.startswith(link, F.lit("//")), F.concat(scheme, link))
         .when(F.startswith(link, F.lit("/")), F.concat(origin, _resolve_dots(link)))
-        .when(link == "", F.regexp_extract(base, r"^([^#]*)", 1))
+        .when(link == "", base)
         .when(F.startswith(link, F.lit("#")), F.concat(F.regexp_extract(base, r"^([^#]*)", 1), link))
         .when(F.startswith(link, F.lit("?")), F.concat(page, link))
         .otherwise(F.concat(origin, _resolve_dots(F.concat(F.substring(folder, F.length(origin) + 1, F.length(folder)), link))))

@@ -100,11 +100,11 @@ LINKS = ["https://other.example/a", "//cdn.example/b", "/root", "page.html", "?q
 
 @query(
     "absolute_links",
-    """WITH l AS (SELECT page_id, regexp_extract(url, '^([a-z]+)://', 1) AS scheme, regexp_extract(url, '^([a-z]+://[^/?#]*)', 1) AS origin,
+    """WITH l AS (SELECT page_id, url, regexp_extract(url, '^([a-z]+)://', 1) AS scheme, regexp_extract(url, '^([a-z]+://[^/?#]*)', 1) AS origin,
     regexp_extract(url, '^([^?#]*)', 1) AS page, regexp_extract(url, '^([^#]*)', 1) AS whole, regexp_extract(url, '^[a-z]+://[^/?#]*(/(?:[^?#]*/)?)', 1) AS folder, page_id % 10 AS kind FROM pages),
     up AS (SELECT *, regexp_replace(folder, '[^/]+/$', '') AS parent FROM l)
     SELECT page_id, CASE kind WHEN 0 THEN 'https://other.example/a' WHEN 1 THEN scheme || '://cdn.example/b' WHEN 2 THEN origin || '/root' WHEN 3 THEN origin || folder || 'page.html'
-    WHEN 4 THEN page || '?q=1' WHEN 5 THEN whole || '#part' WHEN 6 THEN origin || parent || 'up' WHEN 7 THEN origin || folder || 'here' WHEN 8 THEN origin || folder || 'b/c' ELSE whole END AS link FROM up""",
+    WHEN 4 THEN page || '?q=1' WHEN 5 THEN whole || '#part' WHEN 6 THEN origin || parent || 'up' WHEN 7 THEN origin || folder || 'here' WHEN 8 THEN origin || folder || 'b/c' ELSE url END AS link FROM up""",
 )
 def absolute_links(spark, sf_dir):
     links = F.array(*[F.lit(link) for link in LINKS])
