@@ -173,6 +173,8 @@ def test_bpe_equals_the_library(spark):
     assert {p: i for i, p in enumerate(model.vocabulary)} == library.get_vocab()
     got = {r["doc_id"]: r["ids"] for r in bpe.encode(df, "doc_id", "text", model).collect()}
     assert got == {i: library.encode(text).ids for i, text in enumerate(texts)}
+    named = bpe.pieces(bpe.encode(df, "doc_id", "text", model), model)
+    assert {r["doc_id"]: r["pieces"] for r in named.collect()} == {i: library.encode(text).tokens for i, text in enumerate(texts)}
     unseen = spark.createDataFrame([(0, "newest lowers ? ray"), (1, "")], "doc_id bigint, text string")
     got = {r["doc_id"]: r["ids"] for r in bpe.encode(unseen, "doc_id", "text", model).collect()}
     assert got == {0: library.encode("newest lowers ? ray").ids, 1: []}

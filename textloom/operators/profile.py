@@ -129,7 +129,28 @@ def quality_report(
     def rows(table: DataFrame, check: str, key: Column, value: Column) -> DataFrame:
         return table.select(F.lit(check).alias("check"), key.cast("string").alias("key"), value.cast("string").alias("value"))
 
-    info = table_report(df)
+    # Everything that is one number per table or column comes from one pass.
+    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    rank = F.col(rank_column).cast("double")
+    moments = {"count": F.count(rank).cast("double"), "mean": F.avg(rank), "std": F.stddev_samp(rank), "min": F.min(rank), "max": F.max(rank)}
+    summary = df.agg(
+        F.count(F.lit(1)).alias("_rows"),
+        F.count_if(is_numeric(F.col(name_column))).alias("_numeric"),
+        *[F.count(F.col(f"`{c}`")).alias(f"_has_{i}") for i, c in enumerate(df.columns)],
+        *[value.alias(f"_rank_{name}") for name, value in moments.items()],
+    )
+
+    def entry(check: str, key: str, value: Column) -> Column:
+        return F.struct(F.lit(check).alias("check"), F.lit(key).alias("key"), value.cast("string").alias("value"))
+
+    entries = [entry("numeric_names", "count", F.col("_numeric"))]
+    for i, c in enumerate(df.columns):
+        entries.append(entry("type", c, F.lit(types[c])))
+        entries.append(entry("non_null", c, F.col(f"_has_{i}")))
+        entries.append(entry("n_null", c, F.col("_rows") - F.col(f"_has_{i}")))
+    entries += [entry("rank", name, F.round(f"_rank_{name}", 6)) for name in moments]
+    quarters = percentiles(df, rank_column, [0.25, 0.5, 0.75])
+    quarter_name = F.concat((F.col("share") * 100).cast("int"), F.lit("%"))
     numeric_names = df.filter(is_numeric(F.col(name_column)))
     years = df.filter(F.col(year_column).isNotNull()).groupBy(year_column).agg(F.count(F.lit(1)).alias("n"))
     firsts = df.orderBy(row_key).limit(head)
@@ -138,14 +159,11 @@ def quality_report(
     names = names.orderBy("_first").limit(sample)
     record = F.to_json(F.struct(*df.columns))
     parts = [
-        rows(info, "type", F.col("column"), F.col("type")),
-        rows(info, "non_null", F.col("column"), F.col("non_null")),
-        rows(null_counts(df), "n_null", F.col("column"), F.col("n_null")),
+        summary.select(F.inline(F.array(*entries))),
         rows(firsts, "head", F.col(row_key), record),
-        rows(numeric_names.agg(F.count(F.lit(1)).alias("n")), "numeric_names", F.lit("count"), F.col("n")),
         rows(numeric_names.orderBy(row_key).limit(10), "numeric_name", F.col(row_key), F.col(name_column)),
         rows(years.orderBy(year_column).limit(head), "year", F.col(year_column), F.col("n")),
-        rows(describe(df, rank_column), "rank", F.col("statistic"), F.round("value", 6)),
+        rows(quarters, "rank", quarter_name, F.round("value", 6)),
         rows(best_rows, "best", F.col(row_key), record),
         rows(names, "name", F.col("_first"), F.col(name_column)),
     ]

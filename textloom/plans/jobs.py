@@ -38,7 +38,7 @@ def book_preprocess_job(
     cleaned = clean_books(raw).persist()
     spark = raw.sparkSession
     model = bpe.learn(cleaned, "text", vocab_size)
-    encoded = bpe.encode(cleaned, "doc_id", "text", model)
+    encoded = bpe.pieces(bpe.encode(cleaned, "doc_id", "text", model), model, "tokens")
     counts = frequency.word_counts(cleaned, t.words(F.lower("text")))
     lemmas, stems = lemma.lemma_counts(counts, dictionary, exceptions), lemma.stem_counts(counts)
     return {

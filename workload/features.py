@@ -256,10 +256,11 @@ def confusion(spark, sf_dir):
 
 @query(
     "misclassified",
-    f"WITH {MNB_SQL} SELECT p.doc_id, label, prediction, text FROM pred p JOIN documents d ON d.doc_id = p.doc_id WHERE label <> prediction ORDER BY p.doc_id LIMIT 5",
+    f"""WITH {MNB_SQL} SELECT t.doc_id, t.label, p.prediction, text FROM testd t JOIN bpred p ON p.doc_id = t.doc_id JOIN documents d ON d.doc_id = t.doc_id
+    WHERE t.label <> p.prediction ORDER BY t.doc_id LIMIT 5""",
 )
 def misclassified(spark, sf_dir):
-    wrong = metrics.misclassified(_predicted(spark, sf_dir), "doc_id", 5)
+    wrong = metrics.misclassified(_predicted(spark, sf_dir, _bernoulli), "doc_id", 5)
     return wrong.join(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
 
 
@@ -385,7 +386,7 @@ def top_terms_svm(spark, sf_dir):
     return linear.top_terms(model, test, 3).withColumn("coefficient", F.round("coefficient", 4))
 
 
-EXAMPLES = ["Can't wait for my new album to drop!", "Starship is ready for launch!"]
+EXAMPLES = ["The one and only of them is on the way.", "Le père et la mère de la maison."]
 
 
 @query("score_examples")

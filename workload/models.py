@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from textloom.operators import bpe, generate, ngram
 from workload.registry import query, table
-from workload.text import SENTENCES
+from workload.text import SENTENCES, SPACE
 
 SEQUENCE = f"{SENTENCES}, seq AS (SELECT doc_id, tok, row_number() OVER (PARTITION BY doc_id ORDER BY s, p) AS i FROM toks)"
 CORPUS = f"{SENTENCES}, seq AS (SELECT 1 AS doc_id, tok, row_number() OVER (ORDER BY doc_id, s, p) AS i FROM toks)"
@@ -178,6 +178,15 @@ def bpe_encode(spark, sf_dir):
     return bpe.encode(docs, "doc_id", "text", model).select("doc_id", F.to_json("ids").alias("ids"))
 
 
+@query("bpe_pieces", f"SELECT doc_id, regexp_replace(text, '[{SPACE}]+', '', 'g') AS joined FROM documents")
+def bpe_pieces(spark, sf_dir):
+    """The pieces of a document, put together again, are its text without blanks."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = bpe.learn(docs, "text", VOCABULARY)
+    split = bpe.pieces(bpe.encode(docs, "doc_id", "text", model), model)
+    return split.select("doc_id", F.concat_ws("", "pieces").alias("joined"))
+
+
 @query("bpe_totals")
 def bpe_totals(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
