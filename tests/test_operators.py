@@ -127,6 +127,9 @@ def test_lookup_join_with_a_hot_key(spark):
         assert left.count() == len(rows) and left.filter("value IS NULL").count() == 2
     salted = skew.salted_join(fact, dim.drop("n"), ["key"], ["id"], "left", 7)
     assert salted.count() == len(rows)
+    for most in (5, 1000):
+        small = skew.small_join(fact, dim.drop("n"), ["key"], ["id"], "left", most)
+        assert small.count() == len(rows) and small.filter("value IS NULL").count() == 2
 
 
 def test_packed_rows_refuses_large_tables(spark):

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textloom.functions.keys import artist_key, title_key
-from textloom.operators.skew import salted_join
+from textloom.operators.skew import small_join
 
 KEYS = ["title_clean", "artist_clean"]
 
@@ -21,10 +21,11 @@ def key_join(df: DataFrame, other: DataFrame, spread_by: Sequence[str], keys: Se
     """Rows of ``df`` once for every row of ``other`` with the same keys; missing keys match nothing.
 
     ``other`` contributes its keys only, so it shrinks to one row per key with a repeat
-    count first. Repeats are made up again after the join, within the row.
+    count first, and is broadcast when that is small; ``df`` is not shuffled then. Repeats
+    are made up again after the join, within the row.
     """
     repeats = other.groupBy(*keys).agg(F.count(F.lit(1)).cast("int").alias("_repeats"))
-    matched = salted_join(df, repeats, list(keys), spread_by)
+    matched = small_join(df, repeats, list(keys), spread_by)
     return matched.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_repeats")))).drop("_copy", "_repeats")
 
 

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textloom.operators.skew import salted_join
+from textloom.operators.skew import small_join
 
 RANGES = 256
 DIRECT_TOP = 10_000
@@ -160,13 +160,13 @@ def smallest_share(
         .filter((F.col("_upto") >= F.col("_take")) & (F.col("_upto") - F.col("_size") < F.col("_take")))
         .select("_group", "_bucket", (F.col("_take") - F.col("_upto") + F.col("_size")).alias("_nth"))
     )
-    edge_rows = salted_join(keyed, edges, ["_group", "_bucket"], ["_id"])
+    edge_rows = small_join(keyed, edges, ["_group", "_bucket"], ["_id"])
     ranked = edge_rows.withColumn(
         "_place", F.row_number().over(Window.partitionBy("_group", "_bucket").orderBy("_digest", "_id"))
     )
     limits = ranked.filter(F.col("_place") == F.col("_nth")).select(
         F.col("_group").alias(group), F.struct("_digest", "_id").alias("_limit")
     )
-    marked = salted_join(df, limits, [group], [id_column], "left")
+    marked = small_join(df, limits, [group], [id_column], "left")
     flag = F.coalesce(F.struct(digest.alias("_digest"), F.col(id_column).alias("_id")) <= F.col("_limit"), F.lit(False))
     return marked.withColumn(name, flag).drop("_limit")

@@ -7,8 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from textloom.session import cut_lineage
+
 HOT_KEYS = 1000
 SALTS = 32
+# Rows of a few short columns that are broadcast after counting them.
+MOST_BROADCAST = 100_000
 
 
 def _spread(by: Sequence[str], buckets: int) -> Column:
@@ -68,6 +72,20 @@ def salted_join(
     return fact.join(dim, [*on, "_salt"], how).drop("_salt")
 
 
+def small_join(
+    fact: DataFrame, dim: DataFrame, on: Sequence[str], spread_by: Sequence[str], how: str = "inner", most: int = MOST_BROADCAST
+) -> DataFrame:
+    """Join a large ``fact`` to a ``dim`` that should be small.
+
+    ``dim`` is worked out once and counted. Up to ``most`` rows it is broadcast and ``fact`` stays
+    where it is; beyond that both are shuffled with salted keys.
+    """
+    dim = cut_lineage(dim)
+    if dim.limit(most + 1).count() <= most:
+        return fact.join(F.broadcast(dim), list(on), how)
+    return salted_join(fact, dim, on, spread_by, how)
+
+
 def packed_rows(df: DataFrame, columns: Sequence[str], limit: int = 10_000) -> Column:
     """A small table as one array column, sorted by ``columns``; fails above ``limit`` rows.
 
