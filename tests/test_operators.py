@@ -125,6 +125,10 @@ def test_lookup_join_with_a_hot_key(spark):
         assert got == sorted((i, k, f"v-{k}") for i, k in rows if k in counts)
         left = skew.lookup_join(fact, dim, ["key"], "n", ["id"], "left", hot_keys)
         assert left.count() == len(rows) and left.filter("value IS NULL").count() == 2
+        partial = dim.drop("n").filter("key <> 'hot'")
+        unknown = skew.lookup_join(fact, partial, ["key"], None, ["id"], "left", hot_keys)
+        assert unknown.count() == len(rows) and unknown.filter("value IS NULL").count() == 2 + counts["hot"]
+        assert skew.lookup_join(fact, partial, ["key"], None, ["id"], "inner", hot_keys).count() == 3000 - counts["hot"]
     salted = skew.salted_join(fact, dim.drop("n"), ["key"], ["id"], "left", 7)
     assert salted.count() == len(rows)
     for most in (5, 1000):

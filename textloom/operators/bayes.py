@@ -96,7 +96,7 @@ def parameters(model: BayesModel) -> DataFrame:
 def scores(model: BayesModel, docs: DataFrame, counts: DataFrame, id_column: str, value: str = "tf") -> DataFrame:
     """Rows (id, ``label``, ``score``) for every document and class, documents without known terms too."""
     classes = packed_rows(model.classes, ["label", "base", "unseen"])
-    known = lookup_join(counts.select(id_column, "term", value), model.terms, ["term"], "df", [id_column])
+    known = lookup_join(counts.select(id_column, "term", value), model.terms.drop("df"), ["term"], None, [id_column])
     parts = F.transform(
         "_classes",
         lambda c: F.struct(
@@ -197,8 +197,7 @@ def topic_predictions(
         bnb = F.log((d1 + 1) / (t["n1"] - d1 + 1)) - F.log((d0 + 1) / (t["n0"] - d0 + 1))
         return F.struct(t["topic"].alias("topic"), (F.col("tf") * mnb).alias("mnb"), bnb.alias("bnb"))
 
-    weighted = terms.withColumn("_weight", F.col("d"))
-    known = lookup_join(test_counts, weighted, ["term"], "_weight", [id_column])
+    known = lookup_join(test_counts, terms, ["term"], None, [id_column])
     parts = known.withColumn("_facts", packed).select(id_column, F.inline(F.transform("_facts", term_parts)))
     starts = test.select(id_column, F.inline(bases))
     sums = starts.unionByName(parts).groupBy(id_column, "topic").agg(F.sum("mnb").alias("mnb"), F.sum("bnb").alias("bnb"))

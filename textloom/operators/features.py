@@ -58,8 +58,7 @@ def restrict(counts: DataFrame, vocabulary: DataFrame, id_column: str, bound: in
     known = vocabulary.select("term", "df")
     if bound is not None and bound <= LARGEST_BROADCAST:
         return counts.join(F.broadcast(known), "term")
-    weighted = known.withColumn("_weight", F.col("df"))
-    return lookup_join(counts, weighted, ["term"], "_weight", [id_column])
+    return lookup_join(counts, known, ["term"], None, [id_column])
 
 
 def tfidf(

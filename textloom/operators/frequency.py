@@ -72,7 +72,7 @@ def keep_vocabulary(df: DataFrame, id_column: str, tokens: Column, vocabulary: D
     Vocabularies may be large, so tokens meet them in a join that spreads frequent terms.
     """
     tokens_long = df.select(id_column, F.posexplode(tokens).alias("pos", "term"))
-    kept = lookup_join(tokens_long, vocabulary.select("term", "n"), ["term"], "n", [id_column, "pos"])
+    kept = lookup_join(tokens_long, vocabulary.select("term"), ["term"], None, [id_column, "pos"])
     ordered = F.array_sort(F.collect_list(F.struct("pos", "term")))
     arrays = kept.groupBy(id_column).agg(F.transform(ordered, lambda t: t["term"]).alias("tokens"))
     empty = F.array().cast("array<string>")

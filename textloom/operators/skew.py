@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,29 +25,39 @@ def lookup_join(
     fact: DataFrame,
     dim: DataFrame,
     on: Sequence[str],
-    weight: str,
+    weight: str | None,
     spread_by: Sequence[str],
     how: str = "inner",
     hot_keys: int = HOT_KEYS,
 ) -> DataFrame:
     """Join ``fact`` to ``dim``, which has one row per key.
 
-    ``weight`` is a column of ``dim``: how many fact rows the key has (an estimate from other
-    data is fine, it only steers the plan). The ``hot_keys`` heaviest keys are broadcast, a
-    fixed number; every other key has less than 1/``hot_keys`` of the rows. Fact rows that
-    found a hot key are spread by the hash of ``spread_by`` and pass the shuffle join without
-    a partner. ``weight`` is not part of the result.
+    ``weight`` is a column of ``dim``: how many fact rows the key has. Without one the keys of
+    ``fact`` are counted, which is needed when frequent keys may be missing from ``dim``. The
+    ``hot_keys`` heaviest keys are broadcast, a fixed number; every other key has less than
+    1/``hot_keys`` of the rows. Fact rows with a hot key are spread by the hash of
+    ``spread_by`` and pass the shuffle join without a partner. ``weight`` is not part of the result.
     """
     on = list(on)
     extra = [c for c in dim.columns if c not in on and c != weight]
-    packed = dim.select(*on, F.col(weight).alias("_weight"), F.struct(F.lit(True).alias("_"), *extra).alias("_dim"))
-    heaviest = packed.orderBy(F.desc("_weight"), *on).limit(hot_keys)
-    hot = heaviest.select(*on, F.col("_dim").alias("_hot"))
+    entry = F.struct(F.lit(True).alias("_"), *extra).alias("_dim")
+    if weight is None:
+        packed = dim.select(*on, entry)
+        counts = fact.groupBy(*on).agg(F.count(F.lit(1)).alias("_weight"))
+        heaviest = counts.orderBy(F.desc("_weight"), *on).limit(hot_keys)
+        found = packed.join(F.broadcast(heaviest.select(*on)), on)
+        hot = heaviest.join(F.broadcast(found), on, "left").select(*on, F.struct("_dim").alias("_hot"))
+    else:
+        packed = dim.select(*on, F.col(weight).alias("_weight"), entry)
+        heaviest = packed.orderBy(F.desc("_weight"), *on).limit(hot_keys)
+        hot = heaviest.select(*on, F.struct("_dim").alias("_hot"))
     cold = packed.select(*on, F.lit(0).alias("_salt"), F.col("_dim").alias("_cold"))
+    # A missing key has no partner either, so such rows are spread too.
+    keyed = reduce(and_, [F.col(c).isNotNull() for c in on])
     probed = fact.join(F.broadcast(hot), on, "left").withColumn(
-        "_salt", F.when(F.col("_hot").isNull(), 0).otherwise(_spread(spread_by, 1 << 20) + 1)
+        "_salt", F.when(F.col("_hot").isNull() & keyed, 0).otherwise(_spread(spread_by, 1 << 20) + 1)
     )
-    joined = probed.join(cold, [*on, "_salt"], "left").withColumn("_dim", F.coalesce("_hot", "_cold"))
+    joined = probed.join(cold, [*on, "_salt"], "left").withColumn("_dim", F.coalesce("_hot._dim", "_cold"))
     if how == "inner":
         joined = joined.filter(F.col("_dim").isNotNull())
     elif how != "left":
