@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textloom.llm import token_files
+from textloom.llm import decontaminate, html_text, licenses, near_dup, packing, token_files, warc
 from textloom.llm.common import table
 from textloom.llm.tokens import path_of
 
@@ -23,3 +23,76 @@ def _query(job: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSess
 @_query
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_file_rows(table(spark, sf_dir, "documents"), path_of(WORD_BPE), end_id=2)
+
+
+@_query
+def op2_simhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", near_dup.hex_fingerprint().alias("fingerprint"), "component_id")
+
+
+@_query
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed_documents(table(spark, sf_dir, "documents"), path_of(WORD_BPE), end_id=1)
+
+
+@_query
+def op10_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    found = warc.archive_pages(pages).lookup(pages, with_payload=False)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLES["op10_warc_index"] = """
+WITH payloads AS (
+  SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS digest FROM pages
+), firsts AS (
+  SELECT digest, min(page_id) AS first FROM payloads WHERE n >= 100 GROUP BY digest
+)
+SELECT page_id, n AS payload_bytes, p.digest AS payload_digest,
+       CASE WHEN first IS NULL OR first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to
+FROM payloads p LEFT JOIN firsts f ON p.digest = f.digest
+"""
+
+
+@_query
+def op1_positional_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.digest(decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+ORACLES["op1_positional_decontamination"] = rf"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), items AS (
+  SELECT item_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), windows AS (
+  SELECT DISTINCT item_id, len(x) AS k, x AS gram FROM (
+    SELECT item_id, unnest(list_transform(range(1, greatest(len(w) - 10, 0) + 2), lambda i: w[i : i + 9])) AS x FROM items WHERE len(w) > 0)
+), sizes AS (SELECT DISTINCT k FROM windows),
+places AS (
+  SELECT doc_id, k, unnest(range(1, len(w) - k + 2)) AS i, w FROM words, sizes WHERE len(w) >= k
+), hits AS (
+  SELECT DISTINCT p.doc_id, p.i, p.k, v.item_id FROM (SELECT doc_id, k, i, w[i : i + k - 1] AS gram FROM places) p
+  JOIN windows v ON v.k = p.k AND v.gram = p.gram
+), covered AS (
+  SELECT doc_id, count(DISTINCT j) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS j FROM hits) GROUP BY doc_id
+), named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM hits) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM words LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+
+@_query
+def op3_html_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(table(spark, sf_dir, "pages"))
+
+
+@_query
+def op4_license_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licences(table(spark, sf_dir, "documents"))

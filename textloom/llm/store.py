@@ -33,7 +33,7 @@ def keep_only(folder: str, names: set[str]) -> None:
 def create(folder: str, name: str):
     """A new binary file to write to. Names must hold the task attempt, so that attempts never share a file."""
     fs, path = open_store(folder)
-    return fs.open_output_stream(posixpath.join(path, name))
+    return fs.open_output_stream(posixpath.join(path, name), compression=None)
 
 
 class RangeReader:

@@ -12,7 +12,7 @@ WORD_NORMALIZER = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\
 # Characters that normalisation leaves alone but for lower case, and that all Unicode versions class alike.
 PLAIN = regex.compile("[!-~¡-ÿ]+")
 # Distinct words kept per worker; beyond it the memory starts anew. It bounds memory only.
-MOST_WORDS = 1_000_000
+MOST_WORDS = 600_000
 
 
 def path_of(name: str) -> str:
