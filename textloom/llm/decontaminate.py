@@ -136,7 +136,7 @@ class SegmentSearch:
         self.lists = [positions[bounds[i] : bounds[i + 1]] if i >= 0 else positions[:0] for i in local]
         self.sizes = np.array([len(x) for x in self.lists], np.int64)
         # All postings of the block's terms in one sorted array: term * span + position.
-        joined = np.concatenate([np.empty(0, np.int64), *[x + i * self.span for i, x in enumerate(self.lists) if len(x)]])
+        joined = np.concatenate([np.empty(0, np.int64), *[x.astype(np.int64) + i * self.span for i, x in enumerate(self.lists) if len(x)]])
         self.postings = np.append(joined, np.iinfo(np.int64).max)
 
     def _rarest_first(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
