@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textloom.llm import decontaminate, html_text, licenses, near_dup, packing, token_files, warc
+from textloom.llm import decontaminate, html_text, licenses, near_dup, packing, token_files, toxicity, warc
 from textloom.llm.common import table
 from textloom.llm.tokens import path_of
 
@@ -96,3 +96,8 @@ def op3_html_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op4_license_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licences(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op8_counterfactual_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
