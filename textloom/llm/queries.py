@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textloom.llm import decontaminate, html_text, licenses, near_dup, packing, token_files, toxicity, warc
+from textloom.llm import decontaminate, html_text, licenses, near_dup, packing, quality, token_files, toxicity, warc
 from textloom.llm.common import table
 from textloom.llm.tokens import path_of
 
@@ -101,3 +101,70 @@ def op4_license_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op8_counterfactual_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@_query
+def op5_histogram_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_verdicts(table(spark, sf_dir, "documents")).drop("text_hash")
+
+
+def _sql_list(words: Iterable[str]) -> str:
+    return "[" + ", ".join(f"'{w}'" for w in words) + "]"
+
+
+_SHARE = "list_transform({x}, lambda v: v::DOUBLE / list_sum({x}))"
+_DISTANCE = """sqrt(greatest(list_sum(list_transform(list_zip({p}, {q}), lambda z:
+  (CASE WHEN z[1] > 0 THEN z[1] * log2(z[1] / ((z[1] + z[2]) / 2)) ELSE 0 END)
+  + (CASE WHEN z[2] > 0 THEN z[2] * log2(z[2] / ((z[1] + z[2]) / 2)) ELSE 0 END))) / 2, 0))"""
+
+
+def _distance_sql(left: str, right: str) -> str:
+    return _DISTANCE.format(p=_SHARE.format(x=left), q=_SHARE.format(x=right))
+
+
+_LISTS = "MAP {'en': {en}, 'fr': {fr}, 'de': {de}, 'es': {es}}"
+for _lang in ("en", "fr", "de", "es"):
+    _LISTS = _LISTS.replace(f"{{{_lang}}}", _sql_list(quality.COMMON[_lang]))
+ORACLES["op5_histogram_divergence"] = rf"""
+WITH texts AS (
+  SELECT doc_id, lang, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         regexp_extract_all(lower(coalesce(text, '')), '\p{{L}}+') AS lw,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents
+), windows AS (
+  SELECT *, list_transform(range(1, greatest(len(w) - 2, 0) + 1), lambda i: array_to_string(w[i : i + 2], ' ')) AS grams FROM texts
+), places AS (
+  SELECT doc_id, unnest(range(1, len(grams) + 1)) AS i, unnest(grams) AS g FROM windows
+), repeated AS (
+  SELECT doc_id, count(DISTINCT j) AS n FROM (
+    SELECT doc_id, unnest(range(i, i + 3)) AS j FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, g) AS c FROM places) WHERE c > 1
+  ) GROUP BY doc_id
+), counts AS (
+  SELECT w.doc_id, lang, t, lw, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+         length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+         coalesce(r.n, 0) AS n_repeat_words, {_LISTS} AS lists
+  FROM windows w LEFT JOIN repeated r USING (doc_id)
+), listed AS (
+  SELECT *, CASE WHEN lang IN ('en', 'fr', 'de', 'es') THEN lang ELSE
+    list_extract(['en', 'fr', 'de', 'es'], list_position(hits, list_max(hits))) END AS list
+  FROM (SELECT *, list_transform(['en', 'fr', 'de', 'es'], lambda k: len(list_filter(lw, lambda x: list_contains(lists[k], x)))) AS hits FROM counts)
+), shaped AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+    [length(t) - word_chars, word_chars - list_sum(rest)] || rest AS classes,
+    list_transform(lists[list], lambda k: len(list_filter(lw, lambda x: x = k))) || [len(list_filter(lw, lambda x: NOT list_contains(lists[list], x)))] AS words
+  FROM (SELECT *, list_transform(['[^A-Z]', '[^0-9]', '[^.,;:!?''"()-]', '[^#*$%&|<>]', '[\x00-\x7F]', '[^+/=@\[\\\]^_`{{}}~\x00-\x08\x0E-\x1F\x7F]'],
+          lambda p: length(regexp_replace(t, p, '', 'g'))) AS rest FROM listed)
+), refs AS (
+  SELECT list AS k, sum(n_words) AS ref_n,
+    [{", ".join(f"sum(classes[{i}])" for i in range(1, quality.N_CLASSES + 1))}] AS rc, [{", ".join(f"sum(words[{i}])" for i in range(1, 22))}] AS rw
+  FROM shaped WHERE NOT base_failed AND 10 * n_symbols <= n_words GROUP BY list
+), judged AS (
+  SELECT *, CASE WHEN ref_n >= {quality.LEAST_REFERENCE} AND length(t) >= {quality.LEAST_CHARS} THEN round({_distance_sql("classes", "rc")}, 6) END AS class_distance,
+    CASE WHEN ref_n >= {quality.LEAST_REFERENCE} AND len(lw) >= {quality.LEAST_LETTER_WORDS} THEN round({_distance_sql("words", "rw")}, 6) END AS word_distance
+  FROM shaped LEFT JOIN refs ON k = list
+)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
+       CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed, class_distance, word_distance,
+       NOT base_failed AND coalesce(class_distance, 0) <= {quality.MOST_CLASS_DISTANCE} AND coalesce(word_distance, 0) <= {quality.MOST_WORD_DISTANCE} AS kept
+FROM judged
+"""
