@@ -52,6 +52,22 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+# Rows of a few short columns that are broadcast at most; a larger side is shuffled.
+MOST_BROADCAST = 1_000_000
+
+
+def sized_join(rows: DataFrame, side: DataFrame, on: list[str], how: str = "inner", most: int = MOST_BROADCAST) -> DataFrame:
+    """Join long rows, such as whole texts, to a side that is stored and counted first.
+
+    Up to ``most`` rows the side is broadcast and the long rows stay where they are; beyond it both are shuffled. Lists in the side
+    count with their entries.
+    """
+    side = stored(side, "side")
+    lists = [F.sum(F.size(f.name)) for f in side.schema if f.dataType.typeName() == "array"]
+    total = sum((F.coalesce(c, F.lit(0)) for c in lists), F.count(F.lit(1)))
+    return rows.join(F.broadcast(side) if side.agg(total).first()[0] <= most else side, on, how)
+
+
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """One star step over edges ``a`` > ``b``: every node of a neighbourhood points to its smallest node."""
     sides = edges

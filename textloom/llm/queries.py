@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textloom.llm import decontaminate, html_text, licenses, near_dup, packing, quality, token_files, toxicity, warc
+from textloom.llm import decontaminate, html_text, licenses, line_dedup, near_dup, packing, quality, token_files, toxicity, warc
 from textloom.llm.common import table
 from textloom.llm.tokens import path_of
 
@@ -168,3 +168,8 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
        NOT base_failed AND coalesce(class_distance, 0) <= {quality.MOST_CLASS_DISTANCE} AND coalesce(word_distance, 0) <= {quality.MOST_WORD_DISTANCE} AS kept
 FROM judged
 """
+
+
+@_query
+def op7_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_removed")
