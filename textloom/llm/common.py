@@ -8,7 +8,7 @@ import os
 import uuid
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.session import ensure_checkpoint_dir
@@ -68,6 +68,21 @@ def sized_join(rows: DataFrame, side: DataFrame, on: list[str], how: str = "inne
     return rows.join(F.broadcast(side) if side.agg(total).first()[0] <= most else side, on, how)
 
 
+NULL_ID = -(1 << 63)
+
+
+def row_key(id_column: str, text_column: str) -> dict[str, Column]:
+    """What a row of documents is known by: its id (the smallest integer for NULL) and a hash of its text."""
+    return {"_row_id": F.coalesce(F.col(id_column).cast("long"), F.lit(NULL_ID)), "_row_hash": F.xxhash64(F.col(text_column).cast("binary"))}
+
+
+def without_rows(docs: DataFrame, gone: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """``docs`` without the rows named in ``gone`` (``doc_id``, ``text_hash``)."""
+    side = gone.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("_row_id"), F.col("text_hash").alias("_row_hash")).distinct()
+    marked = docs.withColumns(row_key(id_column, text_column))
+    return sized_join(marked, side, ["_row_id", "_row_hash"], "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """One star step over edges ``a`` > ``b``: every node of a neighbourhood points to its smallest node."""
     sides = edges

@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import stored
+from textloom.llm.common import stored, without_rows
 
 # Words per segment (a longer document is a segment of its own); UTF-8 bytes of benchmark text per search block.
 SEGMENT, BLOCK_BYTES = 1 << 20, 1 << 22
@@ -359,7 +359,4 @@ def digest(found: DataFrame) -> DataFrame:
 def without_contaminated(docs: DataFrame, items: DataFrame, window: int = 10, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The rows of ``docs`` in whose text no window of ``items`` occurs."""
     found = contamination(docs, items, window, id_column=id_column, text_column=text_column)
-    bad = found.filter(F.size("spans") > 0).select(F.col("doc_id").alias("_bad_id"), F.col("text_hash").alias("_bad_hash")).distinct()
-    marked = docs.withColumns({"_row_id": F.col(id_column).cast("long"), "_row_hash": F.xxhash64(F.col(text_column).cast("binary"))})
-    same = F.col("_row_id").eqNullSafe(F.col("_bad_id")) & (F.col("_row_hash") == F.col("_bad_hash"))
-    return marked.join(bad, same, "left_anti").select(*docs.columns)
+    return without_rows(docs, found.filter(F.size("spans") > 0), id_column, text_column)

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import connected_groups, stored
+from textloom.llm.common import NULL_ID, connected_groups, row_key, sized_join, stored, without_rows
 
 BITS, BYTES = 64, 8
 # Members of a list that are compared as one block; longer lists are cut into blocks that meet pairwise.
@@ -189,9 +189,14 @@ def hex_fingerprint(fp: str = "fp") -> Column:
 
 def one_per_group(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", limit: int = 4, words: int = 4) -> DataFrame:
     """The rows of ``docs`` of which one per group stays: the smallest id, then the smallest text hash; one of repeated rows."""
-    found = near_duplicates(docs, id_column, text_column, limit, words)
+    found = stored(near_duplicates(docs, id_column, text_column, limit, words), "groups")
     best = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("best")
-    kept = found.groupBy("root").agg(best).select(F.col("best.doc_id").alias("_id"), F.col("best.text_hash").alias("_hash"))
-    marked = docs.withColumns({"_row_id": F.col(id_column).cast("long"), "_row_hash": F.xxhash64(F.col(text_column).cast("binary"))})
-    same = F.col("_row_id").eqNullSafe(F.col("_id")) & (F.col("_row_hash") == F.col("_hash"))
-    return marked.join(kept, same, "left_semi").dropDuplicates(["_row_id", "_row_hash"]).select(*docs.columns)
+    kept = found.groupBy("root").agg(best).select("root", F.struct("best.doc_id", "best.text_hash").alias("best"))
+    # The root of a huge group is one row of the small side; counts are taken before the join.
+    rows = found.groupBy("root", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n")).join(kept, "root")
+    chosen = F.struct("doc_id", "text_hash") == F.col("best")
+    gone, again = rows.filter(~chosen), rows.filter(chosen & (F.col("n") > 1))
+    side = again.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("_row_id"), F.col("text_hash").alias("_row_hash"))
+    repeats = sized_join(docs.withColumns(row_key(id_column, text_column)), side, ["_row_id", "_row_hash"], "left_semi")
+    repeats = repeats.dropDuplicates(["_row_id", "_row_hash"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return without_rows(docs, gone.unionByName(again), id_column, text_column).unionByName(repeats)

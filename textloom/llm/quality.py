@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.functions.text import bind, once
-from textloom.llm.common import stored
+from textloom.llm.common import stored, without_rows
 
 # Fixed values of the base rules: white space, symbol characters, fewest words, largest share of repeated words in percent.
 SPACE = " \t\n\x0b\f\r"
@@ -213,7 +213,4 @@ def quality_verdicts(docs: DataFrame, id_column: str = "doc_id", text_column: st
 def keep_good(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang") -> DataFrame:
     """The rows of ``docs`` that the verdict keeps."""
     verdicts = quality_verdicts(docs, id_column, text_column, lang_column)
-    bad = verdicts.filter(~F.col("kept")).select(F.col("doc_id").alias("_bad_id"), F.col("text_hash").alias("_bad_hash")).distinct()
-    marked = docs.withColumns({"_row_id": F.col(id_column).cast("long"), "_row_hash": F.xxhash64(F.col(text_column).cast("binary"))})
-    same = F.col("_row_id").eqNullSafe(F.col("_bad_id")) & (F.col("_row_hash") == F.col("_bad_hash"))
-    return marked.join(bad, same, "left_anti").select(*docs.columns)
+    return without_rows(docs, verdicts.filter(~F.col("kept")), id_column, text_column)
