@@ -9,6 +9,8 @@ from textloom.functions.text import SPACE, WORD, Text, as_column, strip
 
 # What ends the main artist's name.
 ARTIST_END = r"\bfeaturing\b|\bwith\b|&|,"
+# Fixed value: the word set apart where it is glued to a name.
+GLUED = "(?i)([a-z])(featuring)"
 
 
 def title_key(c: Text) -> Column:
@@ -26,5 +28,5 @@ def artist_key(c: Text, mode: str = "reference") -> Column:
     if mode not in ("reference", "strict"):
         raise ValueError("mode is 'reference' or 'strict'")
     cross = "x[a-z]" if mode == "reference" else f"(?<=[{SPACE}])x(?=[{SPACE}])"
-    spaced = F.regexp_replace(as_column(c), "(?i)([a-z])(featuring)", "$1 $2")
+    spaced = F.regexp_replace(as_column(c), GLUED, "$1 $2")
     return F.lower(strip(F.regexp_extract(spaced, rf"(?is)^(.*?)(?:{ARTIST_END}|{cross}|\z)", 1)))

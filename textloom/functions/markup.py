@@ -2,26 +2,42 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from textloom.functions.text import Text, as_column, bind, strip
 
-# Attribute pattern and the entity names that every markup text may use.
+# Fixed value: attribute pattern of record markup.
 ATTRIBUTE = r'([A-Za-z_:][A-Za-z0-9_:\-.]*)="([^"]*)"'
-NAMED = {"lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": "\u00a0", "amp": "&"}
-NO_SEMICOLON_NEEDED = {"lt", "gt", "quot", "nbsp", "amp"}
+# Attributes of pages: a value stands in double quotes, in single quotes, or without any.
+PAGE_ATTRIBUTE = r"""([A-Za-z_:][A-Za-z0-9_:\-.]*)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'<>=`]+))"""
+# The standard's entity names; those without a semicolon here are known without one in texts too.
+NAMED = dict(html5)
 # Character references 128-159 mean Windows-1252 characters.
 _WINDOWS = [bytes([b]).decode("cp1252", "ignore") or chr(b) for b in range(0x80, 0xA0)]
 
 
 def attributes(c: Text) -> Column:
     """``key="value"`` pairs as a map with lower-case keys; the last of equal keys wins."""
-    column = as_column(c)
-    keys = F.transform(F.regexp_extract_all(column, F.lit(ATTRIBUTE), F.lit(1)), F.lower)
-    pairs = F.arrays_zip(keys.alias("key"), F.regexp_extract_all(column, F.lit(ATTRIBUTE), F.lit(2)).alias("value"))
+    return _attribute_map(as_column(c), ATTRIBUTE, 1)
+
+
+def page_attributes(c: Text) -> Column:
+    """Attributes of a page's tag, quoted either way or not at all, as a map like that of ``attributes``."""
+    return _attribute_map(as_column(c), PAGE_ATTRIBUTE, 3)
+
+
+def _attribute_map(column: Column, pattern: str, quotings: int) -> Column:
+    keys = F.transform(F.regexp_extract_all(column, F.lit(pattern), F.lit(1)), F.lower)
+    # The groups of the other quotings are empty.
+    values = [F.regexp_extract_all(column, F.lit(pattern), F.lit(i + 2)) for i in range(quotings)]
+    zipped = F.arrays_zip(keys.alias("key"), *[v.alias(f"v{i}") for i, v in enumerate(values)])
+    value = lambda p: F.concat(*[p[f"v{i}"] for i in range(quotings)])
+    pairs = F.transform(zipped, lambda p: F.struct(p["key"].alias("key"), value(p).alias("value")))
 
     def last_of_each(ps: Column) -> Column:
         def is_last(p: Column, i: Column) -> Column:
@@ -54,11 +70,16 @@ def _character(code: Column, keep_controls: bool) -> Column:
 def unescape(c: Text, names: Mapping[str, str] = NAMED, keep_controls: bool = False) -> Column:
     """Resolve character references and named entities, each once and from left to right."""
     column = as_column(c)
-    known = "|".join(
-        name + (";?" if name in NO_SEMICOLON_NEEDED else ";") for name in sorted(names, key=len, reverse=True)
-    )
-    piece = rf"&#[0-9]+;?|&#[xX][0-9a-fA-F]+;?|&(?:{known})|[^&]+|&"
-    lookup = F.create_map(*[F.lit(v) for pair in names.items() for v in pair])
+    open_names = "|".join(sorted((n for n in names if not n.endswith(";")), key=len, reverse=True))
+    piece = r"&#[0-9]+;?|&#[xX][0-9a-fA-F]+;?|&[A-Za-z][A-Za-z0-9]*;?|[^&]+|&"
+    # One literal, folded into a map once per query.
+    lookup = F.from_json(F.lit(json.dumps(dict(names))), "map<string,string>")
+
+    def named(p: Column) -> Column:
+        # The whole name, or else the longest one at its start that needs no semicolon.
+        start = F.regexp_extract(p, f"^&({open_names})", 1) if open_names else F.lit("")
+        shorter = F.when(start != "", F.concat(lookup[start], F.substring(p, F.length(start) + 2, F.length(p))))
+        return F.coalesce(lookup[F.substring(p, F.lit(2), F.length(p))], shorter, p)
 
     def resolve(p: Column) -> Column:
         decimal = F.regexp_extract(p, "^&#([0-9]+)", 1).try_cast("bigint")
@@ -66,7 +87,7 @@ def unescape(c: Text, names: Mapping[str, str] = NAMED, keep_controls: bool = Fa
         return (
             F.when(p.rlike("^&#[0-9]"), _character(decimal, keep_controls))
             .when(p.rlike("^&#[xX]"), _character(hexadecimal, keep_controls))
-            .otherwise(F.coalesce(lookup[F.regexp_extract(p, "^&([A-Za-z0-9]+)", 1)], p))
+            .otherwise(named(p))
         )
 
     pieces = F.regexp_extract_all(column, F.lit(piece), F.lit(0))
@@ -81,6 +102,7 @@ def tag_text(block: Text, tag: str) -> Column:
 
 def raw_tag_text(block: Text, tag: str) -> Column:
     column = as_column(block)
+    # Fixed value: how an element's text is found.
     pattern = rf"(?s)<{tag}[^>]*>(.*?)</{tag}>"
     return F.when(column.rlike(pattern), F.regexp_extract(column, pattern, 1))
 
@@ -125,7 +147,8 @@ def absolute_url(base: Text, link: Text) -> Column:
 def _resolve_dots(path: Column) -> Column:
     """Resolve ``.`` and ``..`` segments in the path part; the query and fragment pass unchanged."""
     split_at = r"(?s)^([^?#]*)(.*)$"
-    segments = F.slice(F.split(F.regexp_extract(path, split_at, 1), "/"), F.lit(2), F.lit(1 << 20))
+    parts = F.split(F.regexp_extract(path, split_at, 1), "/")
+    segments = F.slice(parts, F.lit(2), F.size(parts))
     last = F.element_at(segments, -1)
     empty = F.array().cast("array<string>")
     kept = F.aggregate(

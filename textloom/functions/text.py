@@ -7,7 +7,9 @@ than the Unicode ones these operators are defined with.
 from __future__ import annotations
 
 import string
+import unicodedata
 from collections.abc import Callable, Mapping, Sequence
+from functools import lru_cache
 
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, DataFrame
@@ -136,7 +138,13 @@ def treebank_words(c: Column) -> Column:
 
 def is_numeric(c: Text) -> Column:
     """True where the whole text is numeric characters; NULL counts as the word ``nan``, hence False."""
-    return F.coalesce(as_column(c).rlike(r"^\p{N}+\z"), F.lit(False))
+    return F.coalesce(as_column(c).rlike(rf"^[\p{{N}}{_numeric_letters()}]+\z"), F.lit(False))
+
+
+@lru_cache
+def _numeric_letters() -> str:
+    """Characters with a numeric value that Unicode counts as letters, such as the ideographs for numbers."""
+    return "".join(chr(c) for c in range(0x110000) if chr(c).isnumeric() and unicodedata.category(chr(c))[0] != "N")
 
 
 def contains_ignoring_case(c: Text, phrase: str) -> Column:

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from textloom.operators.skew import small_join
 
 RANGES = 256
-DIRECT_TOP = 10_000
 
 
 def _with_range(df: DataFrame, key: str, ranges: int) -> DataFrame:
@@ -70,19 +69,32 @@ def with_next(df: DataFrame, key: str, value: str, name: str, ranges: int = RANG
 
 
 def top_k(df: DataFrame, score: str, tie: str | Sequence[str], k: int) -> DataFrame:
-    """The ``k`` rows with the highest positive ``score``, ties by ``tie`` ascending.
+    """The ``k`` rows with the highest ``score``, ties by ``tie`` ascending; NULL scores come last.
 
-    For a large ``k`` most rows are first ruled out by a histogram over powers of 2^(1/8),
-    because the final step brings ``k`` rows of every task together.
+    Most rows are first ruled out by a histogram over the scores' magnitudes, because the final step brings
+    ``k`` rows of every task together. Every score has a level, and a higher score never a lower one.
     """
     ties = [tie] if isinstance(tie, str) else list(tie)
-    if k > DIRECT_TOP:
-        level = F.floor(F.log2(F.col(score)) * 8)
-        levels = df.groupBy(level.alias("_level")).agg(F.count(F.lit(1)).alias("_size"))
-        above = F.sum("_size").over(Window.orderBy(F.desc("_level")).rowsBetween(Window.unboundedPreceding, -1))
-        needed = levels.select("_level", F.coalesce(above, F.lit(0)).alias("_above")).filter(F.col("_above") < k)
-        df = df.filter(level >= needed.agg(F.min("_level")).scalar())
-    return df.orderBy(F.desc(score), *ties).limit(k)
+    level = _score_level(F.col(score).cast("double"))
+    levels = df.groupBy(level.alias("_level")).agg(F.count(F.lit(1)).alias("_size"))
+    above = F.sum("_size").over(Window.orderBy(F.desc("_level")).rowsBetween(Window.unboundedPreceding, -1))
+    needed = levels.select("_level", F.coalesce(above, F.lit(0)).alias("_above")).filter(F.col("_above") < k)
+    df = df.filter(level >= needed.agg(F.min("_level")).scalar())
+    return df.orderBy(F.desc_nulls_last(score), *ties).limit(k)
+
+
+def _score_level(value: Column) -> Column:
+    """Powers of 2^(1/8) on both sides of zero: at most some 35 000 levels, in the order of the values; NaN is highest, NULL lowest."""
+    size = F.floor(F.log2(F.abs(value)) * 8).cast("int")
+    edge = 20_000
+    return (
+        F.when(value.isNull(), F.lit(-2 * edge))
+        .when(F.isnan(value), F.lit(2 * edge))
+        .when(value == 0, F.lit(0))
+        .when(F.abs(value) == F.lit(float("inf")), F.when(value > 0, edge).otherwise(-edge))
+        .when(value > 0, size + edge // 2)
+        .otherwise(-size - edge // 2)
+    )
 
 
 def top_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column | str], k: int, name: str) -> DataFrame:

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from textloom.functions.text import is_numeric
 from textloom.operators.ordering import percentiles, top_per_group
@@ -113,7 +114,7 @@ def funnel(df: DataFrame, steps: Mapping[str, Column]) -> DataFrame:
 
 def rounded_means(df: DataFrame, digits: int = 3) -> DataFrame:
     """Mean of every numeric column, rounded."""
-    numeric = [f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float", "integer", "long", "short")]
+    numeric = [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
     return df.agg(*[F.round(F.avg(F.col(f"`{c}`")), digits).alias(c) for c in numeric])
 
 

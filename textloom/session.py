@@ -20,6 +20,7 @@ def build_session(
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if master:
         builder = builder.master(master).config("spark.ui.enabled", "false")
@@ -42,7 +43,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
+        # local-cluster[...] runs executors as processes of their own: it is a cluster.
+        if sc.master != "local" and not sc.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a shared folder before running an iterative job")
         configured = tempfile.mkdtemp(prefix="textloom-checkpoint-")
     sc.setCheckpointDir(configured)

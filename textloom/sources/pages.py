@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.functions.markup import absolute_url, attributes, inner_text, joined_text, unescape
+from textloom.functions.markup import absolute_url, inner_text, joined_text, page_attributes, unescape
 from textloom.functions.text import bind, collapse_space, once, strip
 
 # The properties of a book and the names they get.
@@ -21,7 +21,15 @@ ANCHOR = r"(?is)<a\b[^>]*>.*?</a>"
 
 
 def _href(anchor: Column) -> Column:
-    return unescape(attributes(F.regexp_extract(anchor, r"(?is)<a\b([^>]*)>", 1))["href"])
+    return unescape(page_attributes(F.regexp_extract(anchor, r"(?is)<a\b([^>]*)>", 1))["href"])
+
+
+def _with_class(tag: str, name: str, whole: bool) -> str:
+    """Pattern for the start of a tag whose class attribute holds ``name``: as a word if ``whole``, else anywhere."""
+    left, right = (r"(?:{0}*\s)?", r"(?:\s{0}*)?") if whole else ("{0}*", "{0}*")
+    quoted = [rf"{q}{left.format(f'[^{q}]')}{name}{right.format(f'[^{q}]')}{q}" for q in "\"'"]
+    bare = name + r"(?=[\s>])" if whole else rf"""[^\s"'>]*{name}"""
+    return rf"<{tag}\b[^>]*\bclass\s*=\s*(?:{quoted[0]}|{quoted[1]}|{bare})"
 
 
 def section_links(pages: DataFrame, heading: str, list_tag: str = "ol", url: str = "url", html: str = "html") -> DataFrame:
@@ -38,11 +46,12 @@ def section_links(pages: DataFrame, heading: str, list_tag: str = "ol", url: str
 
 
 def first_link(pages: DataFrame, phrase: str, url: str = "url", html: str = "html", name: str = "link") -> DataFrame:
-    """Add the first link whose text holds ``phrase``, absolute; pages without one are dropped."""
+    """Add the first link whose text holds ``phrase``, absolute; pages without one, or whose link has no address, are dropped."""
     anchors = F.regexp_extract_all(F.col(html), F.lit(ANCHOR), F.lit(0))
     wanted = F.get(F.filter(anchors, lambda a: F.contains(inner_text(a), F.lit(phrase))), F.lit(0))
     found = once(pages, "_anchor", wanted).filter("_anchor IS NOT NULL")
-    return found.withColumn(name, absolute_url(url, _href(F.col("_anchor")))).drop("_anchor")
+    linked = once(found, "_link", absolute_url(url, _href(F.col("_anchor")))).filter("_link IS NOT NULL")
+    return linked.withColumn(name, F.col("_link")).drop("_anchor", "_link")
 
 
 def _cell(row: Column, tag: str) -> Column:
@@ -57,7 +66,7 @@ def properties(
 
     A property row has a ``th`` and a ``td``. Of rows with the same name the last one counts.
     """
-    table = rf'(?is)<table\b[^>]*class="(?:[^"]*\s)?{table_class}(?:\s[^"]*)?"[^>]*>(.*?)</table>'
+    table = rf"(?is){_with_class('table', table_class, True)}[^>]*>(.*?)</table>"
     with_table = pages.filter(F.col(html).rlike(table))
     rows = F.regexp_extract_all(F.regexp_extract(html, table, 1), F.lit(r"(?is)<tr\b[^>]*>.*?(?=<tr\b|\z)"), F.lit(0))
     cells = F.transform(rows, lambda r: F.struct(_cell(r, "th").alias("key"), _cell(r, "td").alias("value")))
@@ -85,11 +94,11 @@ def chart_rows(pages: DataFrame, row_class: str = CHART_ROW, label_class: str =
     The artist is the second label, or the only one. Entries without title or artist are skipped.
     """
     # A row reaches to where the next one starts.
-    opening = rf'<div\b[^>]*class="[^"]*{row_class}'
+    opening = _with_class("div", row_class, False)
     rows = F.regexp_extract_all(F.col(html), F.lit(rf"(?is){opening}.*?(?={opening}|\z)"), F.lit(0))
     others = [c for c in pages.columns if c != html]
     entries = pages.select(*others, F.posexplode(rows).alias("pos", "_row"))
-    label = rf'(?is)<span\b[^>]*class="[^"]*{label_class}[^"]*"[^>]*>(.*?)</span>'
+    label = rf"(?is){_with_class('span', label_class, False)}[^>]*>(.*?)</span>"
     labels = F.regexp_extract_all(F.col("_row"), F.lit(label), F.lit(1))
     artist = bind(labels, lambda ls: F.when(F.size(ls) >= 2, F.get(ls, F.lit(1))).otherwise(F.get(ls, F.lit(0))))
     heading = F.regexp_extract("_row", r"(?is)<h3\b[^>]*>(.*?)</h3>", 1)

@@ -228,3 +228,48 @@ def posts_by_author(spark, sf_dir):
     table(spark, sf_dir, "documents").select(F.col("source").alias("username"), "text").write.parquet(folder)
     return rows_of_top_groups(files.read_posts(spark, folder), "username", 5)
 
+
+
+@query("csv_by_name", "SELECT doc_id, source, n_chars FROM documents")
+def csv_by_name(spark, sf_dir):
+    """The schema lists the columns in another order than the files' header."""
+    folder = _folder(spark)
+    files.write_csv(table(spark, sf_dir, "documents").select("source", "text", "n_chars", "doc_id"), folder)
+    return files.read_csv(spark, folder, "doc_id bigint, n_chars bigint, source string, text string", ["doc_id", "source", "n_chars"])
+
+
+@query("csv_all_columns", "SELECT doc_id, text, lang, source, n_chars FROM documents")
+def csv_all_columns(spark, sf_dir):
+    folder = _folder(spark)
+    files.write_csv(table(spark, sf_dir, "documents"), folder)
+    return files.read_csv(spark, folder, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+
+
+@query("read_text_folder", "SELECT text || chr(10) AS text FROM documents")
+def read_text_folder(spark, sf_dir):
+    """One text file per document, written and read back."""
+    folder = _folder(spark)
+    files.write_text_files(table(spark, sf_dir, "documents"), folder)
+    return files.read_texts(spark, f"{folder}/*").select("text")
+
+
+QUOTINGS = (
+    "'<p><a class=''x'' href=''/p' || page_id || '?a=1&amp;b=2''>first &eacute;t&eacute;</a> <a href=plain' || page_id || '.txt>Plain Text &copy</a>'"
+    " || '<a href=\"/q' || page_id || '\">Plain Text</a></p>'"
+)
+
+
+@query("quoted_links", "SELECT page_id, 'http://h.example/d/plain' || page_id || '.txt' AS link FROM pages")
+def quoted_links(spark, sf_dir):
+    """Attributes in single quotes, without quotes and in double quotes."""
+    quoted = table(spark, sf_dir, "pages").select("page_id", F.lit("http://h.example/d/").alias("url"), F.expr(QUOTINGS).alias("html"))
+    return pages.first_link(quoted, "Plain Text").select("page_id", "link")
+
+
+ENTITIES = "'x' || page_id || ' &eacute;&Eacute;&szlig;&hearts;&frac12;&notit;&copy &amp;lt; &unknown; &NotEqualTilde; ' || url"
+
+
+@query("entities_all", "SELECT page_id, 'x' || page_id || ' éÉß♥½¬it;© &lt; &unknown; ≂̸ ' || url AS text FROM pages WHERE NOT contains(url, '&')")
+def entities_all(spark, sf_dir):
+    stored = table(spark, sf_dir, "pages").filter(~F.contains("url", F.lit("&")))
+    return stored.select("page_id", markup.unescape(F.expr(ENTITIES)).alias("text"))

@@ -76,8 +76,8 @@ TOP = "row_number() OVER (PARTITION BY context ORDER BY n DESC, next) AS place,
     f"WITH {BIGRAMS}, {MODEL}, ranked AS (SELECT *, {TOP} FROM model) SELECT context, next, round(p, 9) AS p, place FROM ranked WHERE place <= 3",
 )
 def next_word_top3(spark, sf_dir):
-    model = ngram.language_model(ngram.ngram_counts(tokens(spark, sf_dir), 2))
-    return ngram.next_words(model, 3).select("context", "next", F.round("p", 9).alias("p"), "place")
+    best = ngram.top_words(ngram.ngram_counts(tokens(spark, sf_dir), 2), 3)
+    return best.select("context", "next", F.round("p", 9).alias("p"), "place")
 
 
 ASKED = ["the", "in", "of", "de", "notaword"]
@@ -90,8 +90,9 @@ ASKED = ["the", "in", "of", "de", "notaword"]
     SELECT a.context, r.place, r.next, round(r.p, 9) AS p FROM asked a LEFT JOIN ranked r ON a.context = r.context AND r.place <= 5""",
 )
 def predict_contexts(spark, sf_dir):
-    model = ngram.language_model(ngram.ngram_counts(tokens(spark, sf_dir), 2))
     asked = spark.createDataFrame([(c,) for c in ASKED], "context string")
+    # A context's total needs its own n-grams only.
+    model = ngram.language_model(ngram.asked_counts(ngram.ngram_counts(tokens(spark, sf_dir), 2), asked))
     return ngram.predict(model, asked, 5).select("context", "place", "next", F.round("p", 9).alias("p"))
 
 
@@ -102,7 +103,7 @@ def predict_contexts(spark, sf_dir):
     WHERE place <= 3 GROUP BY context""",
 )
 def model_map(spark, sf_dir):
-    maps = ngram.prediction_maps(ngram.language_model(ngram.ngram_counts(tokens(spark, sf_dir), 3)), 3)
+    maps = ngram.packed_predictions(ngram.top_words(ngram.ngram_counts(tokens(spark, sf_dir), 3), 3))
     entries = F.transform(
         F.map_entries("next_words"),
         lambda e: F.concat(e["key"], F.lit("="), F.round(e["value"] * 1000000).cast("bigint").cast("string")),
@@ -121,31 +122,33 @@ def model_map(spark, sf_dir):
 )
 def model_compare(spark, sf_dir):
     token_table = tokens(spark, sf_dir)
-    models = [ngram.language_model(ngram.ngram_counts(token_table, n)) for n in (2, 3)]
     asked = spark.createDataFrame([(c,) for c in ASKED], "context string")
+    wide = asked.select(F.concat_ws(" ", F.lit("the"), "context").alias("context"))
+    counts = [ngram.asked_counts(ngram.ngram_counts(token_table, n), keys) for n, keys in ((2, asked), (3, wide))]
+    models = [ngram.language_model(c) for c in counts]
     return ngram.compare_models(*models, asked).withColumn("p", F.round("p", 9))
 
 
-# Walks: one per document, from its first word, four words long at most.
-STEPS = 4
+# Walks: one per document, from its first word, twenty words long at most.
+STEPS = 20
 
 
 def _walk_sql() -> str:
-    u = "(concat('0x', substring(md5(concat('42:', walk, ':{step}')), 1, 8))::BIGINT / 4294967296.0::DOUBLE)"
+    u = "concat('0x', substring(md5(concat('42:', walk, ':{step}')), 1, 15))::BIGINT"
     parts = [
         BIGRAMS,
-        "spans AS (SELECT context, next, n, sum(n) OVER w AS hi, sum(n) OVER (PARTITION BY context) AS ctx_n FROM grams "
+        "spans AS MATERIALIZED (SELECT context, next, n, sum(n) OVER w AS hi, sum(n) OVER (PARTITION BY context) AS ctx_n FROM grams "
         "WINDOW w AS (PARTITION BY context ORDER BY substring(md5(next), 1, 3), next ROWS UNBOUNDED PRECEDING))",
-        "w0 AS (SELECT doc_id AS walk, tok AS context, tok AS sentence, false AS ended FROM seq WHERE i = 1)",
-        "totals AS (SELECT DISTINCT context, ctx_n FROM spans)",
+        "w0 AS MATERIALIZED (SELECT doc_id AS walk, tok AS context, tok AS sentence, false AS ended FROM seq WHERE i = 1)",
+        "totals AS MATERIALIZED (SELECT DISTINCT context, ctx_n FROM spans)",
     ]
     for step in range(1, STEPS + 1):
         draw = u.format(step=step)
         parts.append(
-            f"d{step} AS (SELECT w.walk, w.context, w.sentence, w.ended, floor({draw} * t.ctx_n) AS r FROM w{step - 1} w LEFT JOIN totals t ON t.context = w.context)"
+            f"d{step} AS MATERIALIZED (SELECT w.walk, w.context, w.sentence, w.ended, {draw} % t.ctx_n AS r FROM w{step - 1} w LEFT JOIN totals t ON t.context = w.context)"
         )
         parts.append(
-            f"w{step} AS (SELECT d.walk, CASE WHEN d.ended OR s.next IS NULL OR s.next = '<EOS>' THEN d.context ELSE s.next END AS context, "
+            f"w{step} AS MATERIALIZED (SELECT d.walk, CASE WHEN d.ended OR s.next IS NULL OR s.next = '<EOS>' THEN d.context ELSE s.next END AS context, "
             f"CASE WHEN d.ended OR s.next IS NULL OR s.next = '<EOS>' THEN d.sentence ELSE d.sentence || ' ' || s.next END AS sentence, "
             f"(d.ended OR s.next IS NULL OR s.next = '<EOS>') AS ended FROM d{step} d LEFT JOIN spans s ON s.context = d.context AND d.r >= s.hi - s.n AND d.r < s.hi)"
         )

@@ -9,8 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
-# Tables with much work per row.
-TEXTS = {"documents", "conversations", "pages"}
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
@@ -26,7 +24,5 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A stored table. One with fewer splits than cores is dealt out to all cores; a large one is read as it is."""
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if name in TEXTS and df.rdd.getNumPartitions() < cores else df
+    """A stored table, read as it is stored."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
