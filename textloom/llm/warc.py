@@ -299,7 +299,9 @@ def fetch(located: DataFrame, index: str, archives: str, with_payload: bool = Tr
                         rows, size = [], 0
             yield _records(rows)
 
-    dealt = located.repartition("file", "block").sortWithinPartitions("file", "block", "key")
+    # A fixed number of partitions: a located key is short, but stands for whole records.
+    n = int(located.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = located.repartition(n, "file", "block").sortWithinPartitions("file", "block", "key")
     return dealt.mapInArrow(read, RECORDS)
 
 
