@@ -11,8 +11,9 @@ import regex
 WORD_NORMALIZER = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
 # Characters that normalisation leaves alone but for lower case, and that all Unicode versions class alike.
 PLAIN = regex.compile("[!-~¡-ÿ]+")
-# Distinct words kept per worker; beyond it the memory starts anew. It bounds memory only.
-MOST_WORDS = 600_000
+# Distinct words and their pieces kept per worker; beyond it the memory starts anew. It bounds memory only. Words
+# come with all their punctuation and cases, so there are more of them, but pieces cost more to encode.
+MOST_WORDS, MOST_PIECES = 400_000, 1_200_000
 
 
 def path_of(name: str) -> str:
@@ -65,7 +66,7 @@ class TextEncoder:
         for piece in self.split(text.lower()):
             found = self.pieces.get(piece)
             if found is None:
-                if len(self.pieces) >= MOST_WORDS:
+                if len(self.pieces) >= MOST_PIECES:
                     self.pieces.clear()
                 tokens = self.model.tokenize(piece.encode().decode("latin-1").translate(self.stand_ins))
                 found = self.pieces[piece] = np.array([t.id for t in tokens], "<u4").tobytes()
