@@ -31,7 +31,7 @@ NAMES = uuid.uuid5(uuid.NAMESPACE_URL, "urn:textloom:warc")
 # The revisit profile of the WARC 1.1 standard, and the default ports.
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DEFAULT_PORTS = {"http": "80", "https": "443", "ftp": "21"}
-URL = re.compile(r"(?:([A-Za-z][A-Za-z0-9+.-]*):)?//(?:[^/?#@]*@)?([^/?#:\]]*|\[[^\]]*\])(?::(\d*))?([^#]*)")
+URL = re.compile(r"(?:([A-Za-z][A-Za-z0-9+.-]*):)?//(?:[^/?#@]*@)?(\[[^\]]*\]|[^/?#:]*)(?::(\d*))?([^#]*)")
 
 
 def url_key(url: str | None) -> str:
