@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from textloom.llm import toxicity
-from textloom.llm.toxicity import Model, counterfactuals, features_of, fit, words_in
+from textloom.llm.toxicity import Model, counterfactuals, encode_text, feature_counts, features_of, words_in
 
 NEUTRAL = [f"n{a}{b}" for a in "abcdefgh" for b in ("ork", "illow", "ast", "um")]
 INSULTS = ["stupidhead", "rotter", "vileling"]
@@ -27,6 +27,13 @@ def test_counterfactuals():
     assert counterfactuals({b"nobody"}, [("women", "men")]) == []
 
 
+def fit(spark, texts, labels, **options):
+    counts = spark.createDataFrame([(f, v, n) for (f, v), n in feature_counts(zip(labels, texts, strict=True)).items()], "feature binary, label int, n long")
+    chosen = toxicity.select_features(counts, (labels.count(0), labels.count(1)))
+    encoded = [encode_text(t, {f: i for i, f in enumerate(chosen)}, toxicity.IDENTITY_GROUPS) for t in texts]
+    return toxicity.fit([r for r, _ in encoded], [c for _, cs in encoded for c in cs], labels, chosen, **options)
+
+
 def labelled(n=600, bias=0.9, seed=1):
     """Insults decide the label; one group is named mostly in toxic texts."""
     rng = random.Random(seed)
@@ -45,9 +52,9 @@ def labelled(n=600, bias=0.9, seed=1):
     return texts, labels
 
 
-def test_group_mentions_move_the_score_less():
+def test_group_mentions_move_the_score_less(spark):
     texts, labels = labelled()
-    free, fair = fit(texts, labels, fairness=0.0), fit(texts, labels, fairness=10.0)
+    free, fair = fit(spark, texts, labels, fairness=0.0), fit(spark, texts, labels, fairness=10.0)
     neutral = " ".join(NEUTRAL[:6])
 
     def gap(model):
@@ -62,18 +69,18 @@ def test_group_mentions_move_the_score_less():
     assert right >= 0.97 * 600
 
 
-def test_beginnings_reach_unseen_words():
+def test_beginnings_reach_unseen_words(spark):
     texts, labels = labelled(bias=0.1)
-    assert fit(texts, labels).score("stupidest") > 0.5
+    assert fit(spark, texts, labels).score("stupidest") > 0.5
 
 
-def test_gradient(monkeypatch):
+def test_gradient(spark, monkeypatch):
     """The loss that is minimised has the gradient that is used."""
     texts, labels = labelled(60)
     seen = []
     monkeypatch.setattr(toxicity, "minimise", lambda loss, start: seen.append((loss, start)) or start)
     monkeypatch.setattr(toxicity, "LEAST_DEVIATION", 0.5)
-    fit(texts, labels, fairness=2.0, ridge=0.01)
+    fit(spark, texts, labels, fairness=2.0, ridge=0.01)
     loss, start = seen[0]
     x = np.random.default_rng(0).normal(size=len(start))
     _, gradient = loss(x)
@@ -84,9 +91,9 @@ def test_gradient(monkeypatch):
 
 
 def test_one_label_or_none():
-    assert fit([], []).score("x") < 1e-9
-    assert fit([{b"x"}], [0]).score("x") < 1e-9
-    assert fit([{b"x"}], [1]).score("x") > 1 - 1e-9
+    assert toxicity.fit([], [], [], []).score("x") < 1e-9
+    assert toxicity.fit([[]], [], [0], []).score("x") < 1e-9
+    assert toxicity.fit([[]], [], [1], []).score("x") > 1 - 1e-9
     assert Model(0.0).score(None) == 0.5
 
 

@@ -17,9 +17,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from textloom.llm.common import stored
+
 # Labelled rows per label that the model is fitted on at most, chosen by a hash of the id among all labelled rows.
 MOST_ROWS = 4000
-# Features that the model keeps at most, and distinct words of a fitting text that are used (all of a scored text are).
+# Features that the model keeps at most.
 MOST_FEATURES = 20_000
 # A feature counts if it is in this many fitted texts, and its share differs between the labels by so many standard errors.
 LEAST_TEXTS, LEAST_DEVIATION = 4, 3.5
@@ -90,24 +92,40 @@ def _sigmoid(x: float) -> float:
     return 1 / (1 + math.exp(-x)) if x >= 0 else math.exp(x) / (1 + math.exp(x))
 
 
-def select_features(texts: Sequence[set[bytes]], labels: Sequence[int], most: int = MOST_FEATURES) -> list[bytes]:
-    """Features whose share of texts differs clearly between the labels, the clearest first."""
-    n = [labels.count(0), labels.count(1)]
+def _deviation(a: Column, b: Column, n: tuple[int, int]) -> Column:
+    """By how many standard errors a feature's share differs between ``a`` of n[0] and ``b`` of n[1] texts."""
+    share = (a + b + 1) / F.lit(float(sum(n) + 2))
+    return F.abs(b / F.lit(float(n[1])) - a / F.lit(float(n[0]))) / F.sqrt(share * (1 - share) * F.lit(1 / n[0] + 1 / n[1]))
+
+
+def select_features(counts: DataFrame, n: tuple[int, int], most: int = MOST_FEATURES) -> list[bytes]:
+    """From (``feature``, ``label``, ``n``) the features whose share of the n[0] and n[1] texts differs clearly, the clearest first."""
     if not all(n):
         return []
-    seen = [Counter(), Counter()]
-    for words, label in zip(texts, labels, strict=True):
-        seen[label].update(words)
-    ranked = []
-    for feature in seen[0].keys() | seen[1].keys():
-        a, b = seen[0][feature], seen[1][feature]
-        if a + b < LEAST_TEXTS:
-            continue
-        share = (a + b + 1) / (sum(n) + 2)
-        deviation = abs(b / n[1] - a / n[0]) / math.sqrt(share * (1 - share) * (1 / n[0] + 1 / n[1]))
-        if deviation >= LEAST_DEVIATION:
-            ranked.append((-deviation, feature))
-    return [f for _, f in sorted(ranked)[:most]]
+    each = [F.sum(F.when(F.col("label") == v, F.col("n")).otherwise(0)).cast("double").alias(f"n{v}") for v in (0, 1)]
+    sums = counts.groupBy("feature").agg(*each).filter(F.col("n0") + F.col("n1") >= LEAST_TEXTS)
+    ranked = sums.withColumn("deviation", _deviation(F.col("n0"), F.col("n1"), n)).filter(F.col("deviation") >= LEAST_DEVIATION)
+    return [bytes(r["feature"]) for r in ranked.orderBy(F.desc("deviation"), "feature").limit(most).select("feature").collect()]
+
+
+def feature_counts(words: Iterator[tuple[int, set[bytes]]]) -> Counter:
+    """How many texts of each label have each feature."""
+    seen: Counter = Counter()
+    for label, bag in words:
+        seen.update([(f, label) for f in features_of(bag)])
+    return seen
+
+
+def encode_text(words: set[bytes], number: Mapping[bytes, int], groups: Sequence[Sequence[str]]) -> tuple[list[int], list[tuple[list[int], list[int]]]]:
+    """Feature numbers of a text, and for each counterfactual copy the features that it loses and gains."""
+    bag = features_of(words)
+    changes = []
+    for copy in counterfactuals(words, groups):
+        other = features_of(copy)
+        lost, gained = (sorted(number[f] for f in part & number.keys()) for part in (bag - other, other - bag))
+        if lost or gained:
+            changes.append((lost, gained))
+    return sorted(number[f] for f in bag & number.keys()), changes
 
 
 class _Matrix:
@@ -160,36 +178,26 @@ def minimise(loss, start: np.ndarray, steps: int = 300, memory: int = 10, tolera
 
 
 def fit(
-    texts: Sequence[set[bytes]],
+    rows: Sequence[Sequence[int]],
+    changes: Sequence[tuple[Sequence[int], Sequence[int]]],
     labels: Sequence[int],
+    features: Sequence[bytes],
     priors: tuple[float, float] | None = None,
-    groups: Sequence[Sequence[str]] = IDENTITY_GROUPS,
     fairness: float = FAIRNESS,
     ridge: float = RIDGE,
 ) -> Model:
-    """Fit on sets of distinct words. ``priors``: how many texts of label 0 and 1 there are, if the given ones are a sample per label.
+    """Fit on feature numbers per text and the features that counterfactual copies lose and gain.
 
+    ``priors``: how many texts of label 0 and 1 there are, if the given ones are a sample per label.
     Loss: mean log-loss + ``ridge`` * |w|^2 + ``fairness`` * mean over counterfactual pairs of (w . (x - x'))^2. Without
-    texts of both labels there is no weight, and the score is the share of label 1 (0 without any text).
+    texts of both labels there is no weight, and the score is 1 if only label 1 is there and 0 otherwise.
     """
     n = (labels.count(0), labels.count(1))
     total = priors or n
     if not all(n):
-        return Model(-30.0 if not n[1] else 30.0)
-    bags = [features_of(w) for w in texts]
-    chosen = select_features(bags, labels)
-    number = {f: i for i, f in enumerate(chosen)}
-    rows = [sorted(number[f] for f in bag & number.keys()) for bag in bags]
-    x, y = _Matrix(rows, len(chosen)), np.asarray(labels, float)
-    changes, parts = [], []
-    for words, bag in zip(texts, bags, strict=True):
-        for copy in counterfactuals(words, groups):
-            other = features_of(copy)
-            lost, gained = [number[f] for f in (bag - other) & number.keys()], [number[f] for f in (other - bag) & number.keys()]
-            if lost or gained:
-                changes.append(lost + gained)
-                parts.append([1.0] * len(lost) + [-1.0] * len(gained))
-    d = _Matrix(changes, len(chosen), parts)
+        return Model(30.0 if n[1] else -30.0)
+    x, y = _Matrix(rows, len(features)), np.asarray(labels, float)
+    d = _Matrix([[*lost, *gained] for lost, gained in changes], len(features), [[1.0] * len(lost) + [-1.0] * len(gained) for lost, gained in changes])
     pairs = max(1, len(changes))
 
     def loss(p: np.ndarray) -> tuple[float, np.ndarray]:
@@ -204,10 +212,10 @@ def fit(
             gradient = gradient + 2 * fairness * d.transposed(moved) / pairs
         return float(value), np.append(gradient, error.mean())
 
-    p = minimise(loss, np.zeros(len(chosen) + 1))
+    p = minimise(loss, np.zeros(len(features) + 1))
     # The sample holds the labels in other shares than the corpus does.
     shift = math.log(total[1] / n[1]) - math.log(total[0] / n[0])
-    weights = {f: float(w) for f, w in zip(chosen, p[:-1], strict=True) if abs(w) > 1e-6}
+    weights = {f: float(w) for f, w in zip(features, p[:-1], strict=True) if abs(w) > 1e-6}
     return Model(float(p[-1]) + shift, weights)
 
 
@@ -224,7 +232,7 @@ def fit_labelled(
 
     At most ``most`` rows per label are used, those with the smallest hash of their id, so the sample is the same on every run and spread over
     the whole table; label shares come from all rows. Labels other than 0 and 1 and ids without a document do not count.
-    Only the distinct words of the sampled texts reach the driver.
+    Tasks count features and number them; the driver gets the chosen features and, per sampled text, their numbers.
     """
     usable = labels.select(F.col(id_column).cast("long").alias("_id"), F.col(label_column).cast("int").alias("_label"))
     usable = usable.filter(F.col("_id").isNotNull() & F.col("_label").isin(0, 1) & ~held_out("_id"))
@@ -234,18 +242,36 @@ def fit_labelled(
     # At most 2 * `most` rows of two numbers.
     sample = F.broadcast(sampled[0].unionByName(sampled[1]))
     rows = docs.select(F.col(id_column).cast("long").alias("_id"), F.col(text_column).cast("string").alias("_text")).join(sample, "_id")
+    # Of rows with one id the smallest text counts, so the bound holds for texts too.
+    rows = stored(rows.groupBy("_id", "_label").agg(F.min("_text").alias("_text")), "labelled-texts")
+    n = [rows.filter(F.col("_label") == v).count() for v in (0, 1)]
 
-    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                seen = feature_counts(zip(part.column(0).to_pylist(), map(words_in, part.column(1).to_pylist()), strict=True))
+                columns = [[f for f, _ in seen], [v for _, v in seen], list(seen.values())]
+                kinds = [pa.binary(), pa.int32(), pa.int64()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["feature", "label", "n"])
+
+    chosen = select_features(rows.select("_label", "_text").mapInArrow(count, "feature binary, label int, n long"), (n[0], n[1]))
+    shared = docs.sparkSession.sparkContext.broadcast({f: i for i, f in enumerate(chosen)})
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ints = pa.list_(pa.int32())
+        change = pa.struct([("lost", ints), ("gained", ints)])
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                found = [b" ".join(sorted(words_in(t.as_py()))) for t in part.column(2)]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(found)], ["_id", "_label", "words"])
-
-    got = rows.select("_id", "_label", "_text").mapInArrow(words, "_id long, _label int, words binary").collect()
-    got.sort(key=lambda r: (r["_id"], r["_label"], bytes(r["words"])))
-    texts = [set(bytes(r["words"]).split()) for r in got]
-    return fit(texts, [r["_label"] for r in got], (counted.get(0, 0), counted.get(1, 0)), groups, fairness)
+            found = [encode_text(words_in(t.as_py()), shared.value, groups) for t in batch.column(2)]
+            changes = [[{"lost": a, "gained": b} for a, b in x] for _, x in found]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array([f for f, _ in found], ints), pa.array(changes, pa.list_(change))], ["_id", "_label", "numbers", "changes"]
+            )
+
+    schema = "_id long, _label int, numbers array<int>, changes array<struct<lost:array<int>,gained:array<int>>>"
+    got = sorted(rows.mapInArrow(encode, schema).collect(), key=lambda r: (r["_id"], r["_label"], r["numbers"]))
+    changes = [(c["lost"], c["gained"]) for r in got for c in r["changes"]]
+    return fit([r["numbers"] for r in got], changes, [r["_label"] for r in got], chosen, (counted.get(0, 0), counted.get(1, 0)), fairness)
 
 
 def score_documents(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
