@@ -19,6 +19,10 @@ from textloom.operators.skew import lookup_join, packed_rows
 from textloom.session import cut_lineage
 
 
+# Classes whose names and constants travel inside an expression, some hundred bytes each; more fail with a message.
+MOST_CLASSES = 100_000
+
+
 class BayesModel(NamedTuple):
     classes: DataFrame
     terms: DataFrame
@@ -30,8 +34,8 @@ def _class_sizes(docs: DataFrame) -> DataFrame:
 
 
 def _class_term_counts(docs: DataFrame, counts: DataFrame, id_column: str, value: str) -> DataFrame:
-    """Rows (``label``, ``term``, ``s``, ``d``): summed values and documents."""
-    labelled = counts.join(docs.select(id_column, "label"), id_column)
+    """Rows (``label``, ``term``, ``s``, ``d``): summed values and documents. Counts that carry their ``label`` need no join."""
+    labelled = counts if "label" in counts.columns else counts.join(docs.select(id_column, "label"), id_column)
     return labelled.groupBy("label", "term").agg(F.sum(value).alias("s"), F.count_if(F.col(value) > 0).alias("d"))
 
 
@@ -81,33 +85,38 @@ def fit_bernoulli(docs: DataFrame, counts: DataFrame, id_column: str, value: str
 
 def _with_class_columns(seen: DataFrame, sizes: DataFrame) -> DataFrame:
     """Attach class sizes without a join: the few classes travel as one map."""
-    entries = packed_rows(sizes.select("label", "n_docs"), ["label", "n_docs"])
+    entries = packed_rows(sizes.select("label", "n_docs"), ["label", "n_docs"], MOST_CLASSES)
     return seen.withColumn("_sizes", F.map_from_entries(entries)).withColumn("n_docs", F.col("_sizes")[F.col("label")]).drop("_sizes")
 
 
 def parameters(model: BayesModel) -> DataFrame:
     """Rows (``label``, ``term``, ``value``) for the terms each class saw: the class's value of the term."""
     seen = model.terms.select("term", F.explode("extra").alias("label", "_extra"))
-    classes = packed_rows(model.classes.select("label", "unseen"), ["label", "unseen"])
+    classes = packed_rows(model.classes.select("label", "unseen"), ["label", "unseen"], MOST_CLASSES)
     unseen = F.map_from_entries(classes)[F.col("label")]
     return seen.select("label", "term", (unseen + F.col("_extra")).alias("value"))
 
 
 def scores(model: BayesModel, docs: DataFrame, counts: DataFrame, id_column: str, value: str = "tf") -> DataFrame:
-    """Rows (id, ``label``, ``score``) for every document and class, documents without known terms too."""
-    classes = packed_rows(model.classes, ["label", "base", "unseen"])
+    """Rows (id, ``label``, ``score``) for every document and class, documents without known terms too.
+
+    A known term gives one row for each class that saw it, and one for its weight, not one per class: what the
+    other classes give it is ``unseen`` times the weight, which is summed up once per document.
+    """
     known = lookup_join(counts.select(id_column, "term", value), model.terms.drop("df"), ["term"], None, [id_column])
-    parts = F.transform(
-        "_classes",
-        lambda c: F.struct(
-            c["label"].alias("label"),
-            (F.col(value) * (c["unseen"] + F.coalesce(F.col("extra")[c["label"]], F.lit(0.0)))).alias("part"),
-        ),
+    entries = F.transform(F.map_entries("extra"), lambda e: F.struct(e["key"].alias("label"), (F.col(value) * e["value"]).alias("part")))
+    # The weight goes under no label.
+    weight = F.transform(F.slice(entries, 1, 1), lambda e: F.struct(F.nullif(e["label"], e["label"]).alias("label"), F.col(value).cast("double").alias("part")))
+    sums = known.select(id_column, F.inline(F.concat(entries, weight))).groupBy(id_column, "label").agg(F.sum("part").alias("part"))
+    seen = sums.groupBy(id_column).agg(
+        F.map_from_entries(F.collect_list(F.when(F.col("label").isNotNull(), F.struct("label", "part")))).alias("_seen"),
+        F.sum(F.when(F.col("label").isNull(), F.col("part"))).alias("_weight"),
     )
-    bases = F.transform("_classes", lambda c: F.struct(c["label"].alias("label"), c["base"].alias("part")))
-    starts = docs.select(id_column).withColumn("_classes", classes).select(id_column, F.inline(bases))
-    summands = starts.unionByName(known.withColumn("_classes", classes).select(id_column, F.inline(parts)))
-    return summands.groupBy(id_column, "label").agg(F.sum("part").alias("score"))
+    classes = packed_rows(model.classes, ["label", "base", "unseen"], MOST_CLASSES)
+    grid = docs.select(id_column).join(seen, id_column, "left").select("*", F.inline(classes))
+    weight = F.coalesce("_weight", F.lit(0.0)) * F.col("unseen")
+    part = F.coalesce(F.col("_seen")[F.col("label")], F.lit(0.0))
+    return grid.select(id_column, "label", (F.col("base") + weight + part).alias("score"))
 
 
 def predict(scored: DataFrame, id_column: str) -> DataFrame:

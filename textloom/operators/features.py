@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textloom.functions.text import long_words
+from textloom.functions.text import bind, long_words
 from textloom.operators.ordering import top_k
 from textloom.operators.skew import lookup_join
 
@@ -32,11 +32,26 @@ def _joiner(n: int) -> Callable[[Column], Column]:
     return lambda run: F.concat_ws(" ", *[run[f"t{k}"] for k in range(n)])
 
 
-def term_counts(df: DataFrame, id_column: str, terms: Column | None = None, text: str = "text") -> DataFrame:
-    """Rows (id, ``term``, ``tf``); by default terms are lower-case words of two or more characters."""
+def counted(terms: Column) -> Column:
+    """The different values of an array with their numbers, as structs (``term``, ``tf``): run lengths of the sorted array."""
+
+    def runs(ordered: Column) -> Column:
+        begins = lambda i: (i == 0) | (F.get(ordered, i) != F.get(ordered, i - 1))
+        starts = F.filter(F.sequence(F.lit(0), F.size(ordered) - 1), begins)
+        end = lambda found, j: F.coalesce(F.get(found, j + 1), F.size(ordered))
+        entry = lambda found: lambda i, j: F.struct(F.get(ordered, i).alias("term"), (end(found, j) - i).cast("bigint").alias("tf"))
+        return F.when(F.size(ordered) > 0, bind(starts, lambda found: F.transform(found, entry(found))))
+
+    return bind(F.sort_array(F.filter(terms, lambda x: x.isNotNull())), runs)
+
+
+def term_counts(df: DataFrame, id_column: str, terms: Column | None = None, text: str = "text", keep: Sequence[str] = ()) -> DataFrame:
+    """Rows (id, ``term``, ``tf``) and the columns ``keep``; by default terms are lower-case words of two or more characters.
+
+    A document is one row, so its terms are counted within the row and nothing is shuffled.
+    """
     terms = long_words(text) if terms is None else terms
-    exploded = df.select(id_column, F.explode(terms).alias("term"))
-    return exploded.groupBy(id_column, "term").agg(F.count(F.lit(1)).alias("tf"))
+    return df.select(id_column, *keep, F.inline(counted(terms)))
 
 
 def binary_terms(counts: DataFrame) -> DataFrame:

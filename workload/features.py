@@ -66,7 +66,7 @@ leads AS (SELECT doc_id, a, lead(a, 1) OVER v AS b, lead(a, 2) OVER v AS c FROM
 terms AS (SELECT doc_id, a AS term FROM leads UNION ALL SELECT doc_id, a || ' ' || b FROM leads WHERE b IS NOT NULL
   UNION ALL SELECT doc_id, a || ' ' || b || ' ' || c FROM leads WHERE c IS NOT NULL),
 gcounts AS (SELECT doc_id, term, count(*) AS tf FROM terms GROUP BY 1, 2)"""
-FEATURES = 5000
+FEATURES = 10_000
 VOCAB_SQL = f"vocab AS (SELECT term, sum(tf)::BIGINT AS total, count(*) AS df FROM gcounts GROUP BY term ORDER BY total DESC, term LIMIT {FEATURES})"
 
 
@@ -127,7 +127,7 @@ def _parts(spark, sf_dir):
     """(train, test, train counts, test counts) for the language label."""
     split = _split(spark, sf_dir).withColumnRenamed("lang", "label")
     train, test = split.filter("NOT is_test"), split.filter("is_test")
-    return train, test, features.term_counts(train, "doc_id"), features.term_counts(test, "doc_id")
+    return train, test, features.term_counts(train, "doc_id", keep=["label"]), features.term_counts(test, "doc_id")
 
 
 def _multinomial(spark, sf_dir):
@@ -356,7 +356,7 @@ def top_terms_bayes(spark, sf_dir):
 
 def _linear(spark, sf_dir, kind, balanced):
     split = _split(spark, sf_dir)
-    model = linear.fit_classifier(split.filter("NOT is_test"), kind, "doc_id", "text", "lang", 2000, (1, 2), balanced, 25)
+    model = linear.fit_classifier(split.filter("NOT is_test"), kind, "doc_id", "text", "lang", 10_000, (1, 2), balanced, 1000)
     return model, split.filter("is_test")
 
 
@@ -393,5 +393,5 @@ EXAMPLES = ["The one and only of them is on the way.", "Le père et la mère de
 def score_examples(spark, sf_dir):
     split = _split(spark, sf_dir)
     train = split.filter("NOT is_test")
-    models = {kind: linear.fit_classifier(train, kind, "doc_id", "text", "lang", 2000, (1, 2), False, 25) for kind in ("logistic", "naive_bayes")}
+    models = {kind: linear.fit_classifier(train, kind, "doc_id", "text", "lang", 10_000, (1, 2), False, 1000) for kind in ("logistic", "naive_bayes")}
     return linear.classify_examples(models, EXAMPLES, split)
