@@ -53,7 +53,7 @@ def normalised_line(line):
 
 
 def line_fingerprint(norm):
-    return majority([xxhash.xxh64_intdigest(w.encode(), 42) & (1 << 60) - 1 for w in norm.split(" ")], 60)
+    return majority([xxhash.xxh64_intdigest(w.encode(), 42) & (1 << 60) - 1 for w in set(norm.split(" "))], 60)
 
 
 def deduplicated(docs, least_words=5, bits=3, similarity=0.8):
