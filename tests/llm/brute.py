@@ -3,7 +3,6 @@
 import re
 from functools import lru_cache
 
-import regex
 import xxhash
 
 
@@ -49,7 +48,7 @@ def edit_distance(a, b):
 
 
 def normalised_line(line):
-    return regex.sub(r"[^\p{L}\p{N}]+", " ", line.lower()).strip(" ")
+    return re.sub(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " ", line.lower()).strip(" ")
 
 
 def line_fingerprint(norm):
