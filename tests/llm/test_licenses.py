@@ -86,3 +86,32 @@ def test_table(spark, make):
         (-1, "", "", 0), (1, "MIT", "NAMED:MIT", 0), (2, "", "", 0), (3, "", "COPYRIGHT", 0),
     ]
     assert licenses.scan_licences(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+# An example of every entry of NAMES, and of the CC pattern, without a critical word where the entry allows it.
+NAMED = [
+    ("AGPLv3", "AGPL-3.0"), ("LGPL-2.1", "LGPL-2.1"), ("GPLv3", "GPL-3.0"), ("the GPL", "GPL"), ("Apache-2.0", "Apache-2.0"), ("MPL-2.0", "MPL-2.0"),
+    ("EPL-2.0", "EPL-2.0"), ("CDDL-1.0", "CDDL-1.0"), ("the Artistic License 2.0", "Artistic-2.0"), ("the Boost Software License 1.0", "BSL-1.0"),
+    ("the Academic Free License 3.0", "AFL-3.0"), ("BSD-2-Clause", "BSD-2-Clause"), ("BSD-3-Clause", "BSD-3-Clause"), ("the new BSD", "BSD-3-Clause"),
+    ("BSD-4-Clause", "BSD-4-Clause"), ("a BSD-style license", "BSD"), ("MIT", "MIT"), ("ISC", "ISC"), ("the zlib license", "Zlib"),
+    ("the Python Software Foundation License 2.0", "PSF-2.0"), ("the WTFPL", "WTFPL"), ("the Unlicense", "Unlicense"), ("CC0", "CC0"),
+    ("Creative Commons Zero", "CC0"), ("CC BY-SA 4.0", "CC-BY-SA-4.0"), ("CC-BY 4.0", "CC-BY-4.0"), ("Creative\nCommons Attribution 4.0", "CC-BY-4.0"),
+]
+
+
+@pytest.mark.parametrize(("text", "name"), NAMED)
+@pytest.mark.parametrize("start", ["Released", "Distributed", "Available", "Published"])
+def test_every_name_passes_the_filter(start, text, name):
+    assert licenses.match_rules(licenses.licence_sequence(f"Words before.\n\n{start} under {text}.".encode())) == [name]
+
+
+def test_every_entry_has_an_example():
+    plain = [licenses.normalise(text) for text, _ in NAMED]
+    for pattern, name in licenses.NAMED:
+        assert any(pattern.search(t) for t in plain), name
+    assert any(licenses.CC.search(t) for t in plain)
+
+
+@pytest.mark.parametrize("text", ["Published by researchers at MIT.", "Das Buch mit Bildern ist available.", "The ISC released a report.", "An Apache helicopter.", "The emitted light"])
+def test_names_that_state_nothing(text):
+    assert licenses.licence_sequence(text.encode()) == []

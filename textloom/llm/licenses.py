@@ -1,6 +1,6 @@
 """Licence recognition by sentences: normalised sentences become identifiers, identifier sequences become licences.
 
-Sentences without a critical word cannot state a licence and are skipped. The others are normalised and looked up in a
+Sentences without a critical word or the short name of a licence cannot state one and are skipped. The others are normalised and looked up in a
 table of known licence sentences; a critical sentence that none of them fits is ``UNKNOWN``. Ordered rules then read the
 document's identifier sequence: the first rule that fits takes its identifiers out, so a longer rule
 stands before a shorter one that is part of it.
@@ -23,6 +23,8 @@ CRITICAL = tuple(
         "merchantab", "gnu", "(c)", "©", "free software", "later version", "misrepresented", "copy of the mpl", "advertising materials",
     ]
 )
+# Every licence name without such a word holds one of these; "mit" is a common word elsewhere, so such sentences need not be known.
+SHORT = re.compile(rb"gpl|apache|mpl|epl|cddl|bsd|\bmit\b|\bisc\b|wtf|cc0|cc[- ]by|creative\s+commons")
 COMMENT = re.compile(r"^[ \t]*(?:/\*+|\*+/|//+|#+|;+|--+|\*+|dnl\b|rem\b|<!--|%+)?[ \t]*", re.M | re.I)
 COMMENT_END = re.compile(r"[ \t]*(?:\*+/|-->)[ \t]*$", re.M)
 QUOTES = re.compile("[\"'`´‘’“”«»]+")
@@ -59,6 +61,9 @@ CC = re.compile(
     r"(?:[- ]licen[cs]e)?[ ,-]*(?:version |v)?(\d(?:\.\d)?)?"
 )
 NAMED = [(re.compile(p), name) for p, name in NAMES]
+# Names that are words or institutions as well: without a critical word they must be what something is under.
+AMBIGUOUS = ("MIT", "ISC")
+UNDER = re.compile(r"\b(?:under|terms)\b.*\b(?:mit|isc)\b")
 STATES = re.compile(r"\b(?:licen[cs]ed?|released|distributed|available|published|covered|dual-licen[cs]ed|governed|use of this \w+|terms)\b")
 
 # Known sentences: (identifier, pattern on the normalised sentence). The wording is that of the published licence texts.
@@ -197,9 +202,9 @@ def sentences(text: str) -> Iterator[str]:
 
 
 def licence_sequence(text: bytes | None) -> list[str]:
-    """Identifiers of all critical sentences of a whole text, in order."""
+    """Identifiers of all critical sentences of a whole text and of those that state a licence by its short name, in order."""
     low = (text or b"").lower()
-    if not any(w in low for w in CRITICAL):
+    if not any(w in low for w in CRITICAL) and not SHORT.search(low):
         return []
     found: list[str] = []
     for sentence in sentences(text.decode("utf-8", "replace")):
@@ -207,6 +212,8 @@ def licence_sequence(text: bytes | None) -> list[str]:
         data = plain.encode()
         if any(w in data for w in CRITICAL):
             found += identify(plain)
+        elif SHORT.search(data) and STATES.search(plain):
+            found += [f"NAMED:{n}" for n in named_licences(plain) if n not in AMBIGUOUS or UNDER.search(plain)]
     return found
 
 
