@@ -4,6 +4,7 @@ from itertools import combinations
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from brute import Groups, shingle_fingerprint
 from textloom.llm import near_dup
 
@@ -98,3 +99,31 @@ def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert near_dup.near_duplicates(docs).collect() == []
     assert near_dup.one_per_group(docs).collect() == []
+
+
+def jaccard(a, b):
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in (a.lower().split(), b.lower().split())]
+    return len(sets[0] & sets[1]) / len(sets[0] | sets[1])
+
+
+def test_recall_of_shingle_similarity(make):
+    """Copies of 0.8 or more go, others stay; the pipeline's stage does the same."""
+    rng = random.Random(4)
+    rows, similar = [], {}
+    for i in range(120):
+        words = [f"w{rng.randrange(5000)}" for _ in range(rng.randrange(60, 300))]
+        copy = list(words)
+        for at in rng.sample(range(len(words)), rng.randrange(1, 1 + len(words) // 20)):
+            copy[at] = "changed"
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(copy))]
+        similar[2 * i + 1] = jaccard(rows[-2][1], rows[-1][1])
+    rows += [(900, None), (901, ""), (902, "One two"), (903, "one  two")]
+    docs = make(rows, "doc_id long, text string")
+    gone = {i for i, s in similar.items() if s >= 0.8} | {901, 903}
+    assert 30 < len(gone) < 110 and sum(s < 0.9 for i, s in similar.items() if i in gone) > 10
+    wide = {r.doc_id for r in near_dup.one_per_group(docs, least=0.8).collect()}
+    assert wide == {i for i, _ in rows} - gone
+    assert {r.doc_id for r in corpus_pipeline.near_duplicates(None, docs, "").collect()} == wide
+    narrow = {r.doc_id for r in near_dup.one_per_group(docs).collect()}
+    print(f"removed of {len(gone)}: {len(gone - narrow)} by 4 of 64 bits, {len(gone - wide)} by shingles")
+    assert len(gone - narrow) < len(gone)

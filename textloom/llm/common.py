@@ -6,6 +6,7 @@ import atexit
 import contextlib
 import os
 import uuid
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -114,3 +115,29 @@ def connected_groups(links: DataFrame) -> DataFrame:
             )
         state = (row["n"], row["h"])
         edges = stored(_star(_star(edges, True).distinct(), False).distinct(), "links")
+
+
+def listed_links(postings: DataFrame, verified: Callable[[DataFrame], DataFrame], least: float) -> DataFrame:
+    """Similar pairs (``a``, ``b``) that connect what all similar pairs of ``at`` with a common ``key`` connect.
+
+    ``verified`` takes pairs and returns the similar ones; members whose ``chars``, a size, differ by more than ``1 - least`` of the larger are not.
+    """
+    lists = postings.groupBy("key").agg(F.min(F.struct("at", "chars")).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    postings = stored(postings.join(lists.select("key", "first"), "key"), "postings")
+
+    def fits(left: str, right: str) -> Column:
+        longest = F.greatest(F.col(left), F.col(right))
+        return F.abs(F.col(left) - F.col(right)) <= F.floor((1 - F.lit(least)) * longest + 1e-9)
+
+    # First each member with the smallest of its lists, then every pair that is still apart.
+    stars = postings.filter((F.col("first.at") != F.col("at")) & fits("first.chars", "chars"))
+    links = stored(verified(stars.select(F.col("first.at").alias("a"), F.col("at").alias("b")).distinct()), "links")
+    groups = connected_groups(links).withColumnRenamed("node", "at")
+    grouped = stored(postings.drop("first").join(groups, "at", "left").withColumn("root", F.coalesce("root", "at")), "grouped")
+    # Lists whose members are linked already have no pair.
+    mixed = grouped.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi").select("key")
+    grouped = grouped.join(mixed, "key")
+    a, b = grouped.alias("a"), grouped.alias("b")
+    apart = (F.col("a.key") == F.col("b.key")) & (F.col("a.at") < F.col("b.at")) & (F.col("a.root") != F.col("b.root")) & fits("a.chars", "b.chars")
+    rest = a.join(b, apart).select(F.col("a.at").alias("a"), F.col("b.at").alias("b")).distinct()
+    return links.unionByName(verified(rest))

@@ -6,6 +6,9 @@ such lists means a quadratic number of pairs. The index therefore keys its lists
 (or four) at a time, in a family of position sets of which every set of four positions contains one: any pair with four
 shared positional bytes meets in a list. For pairs that meet, the shared positional bytes are tallied, pairs
 with at least four are retained, and those are verified on all bits.
+
+``similar_documents`` is the wider mode: documents whose sets of word shingles have a Jaccard similarity of at least 0.8. Bands of
+minimum hashes give the candidates, and whole shingle sets decide.
 """
 
 from __future__ import annotations
@@ -19,13 +22,16 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import NULL_ID, connected_groups, row_key, sized_join, stored, without_rows
+from textloom.llm.common import NULL_ID, connected_groups, listed_links, row_key, sized_join, stored, without_rows
 
 BITS, BYTES = 64, 8
 # Members of a list that are compared as one block; longer lists are cut into blocks that meet pairwise.
 BLOCK = 1024
 # Chance partners per list member from which on the lists are keyed on four bytes instead of three.
 CHANCE = 16
+# The wider mode: words of a shingle, bands, minimum hashes of a band. A pair of similarity 0.8 meets in a band with probability 0.998.
+WIDE_WORDS, BANDS, BAND = 5, 16, 5
+MIX = np.random.default_rng(42).integers(1, 1 << 63, (2, BANDS * BAND), np.uint64) | np.uint64(1)
 
 
 def fingerprint(text: bytes | None, words: int = 4, seed: int = 42) -> int:
@@ -183,13 +189,72 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     return rows.join(named, "fp").select("doc_id", "text_hash", "fp", "component_id", "root")
 
 
+def shingle_set(text: bytes | None, words: int = WIDE_WORDS, seed: int = 42) -> np.ndarray:
+    """The distinct hashes of a text's word shingles, ascending; words as in ``fingerprint``. No word makes one empty shingle."""
+    tokens = (text or b"").lower().split()
+    k = min(words, len(tokens))
+    return np.unique(np.array([xxhash.xxh64_intdigest(b" ".join(tokens[i : i + k]), seed) for i in range(len(tokens) - k + 1)], np.uint64))
+
+
+def band_keys(shingles: np.ndarray) -> list[int]:
+    """A key per band: the hash of the smallest values that the band's functions take on the shingles."""
+    least = np.full(BANDS * BAND, np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(shingles), 4096):
+        mixed = (shingles[at : at + 4096, None] ^ MIX[0]) * MIX[1]
+        np.minimum(least, (mixed ^ (mixed >> np.uint64(32))).min(axis=0), out=least)
+    return [xxhash.xxh64_intdigest(part.tobytes(), i) - (1 << 63) for i, part in enumerate(least.reshape(BANDS, BAND))]
+
+
+def similar_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", least: float = 0.8, words: int = WIDE_WORDS) -> DataFrame:
+    """(``doc_id``, ``text_hash``, ``root``) per row of ``docs``: ``root`` names the group that similarities of at least ``least`` connect.
+
+    Similarity is the Jaccard similarity of the sets of word shingles. Texts without words are one group.
+    """
+
+    def sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_set(t.as_py(), words) for t in batch.column(2)]
+            columns = [pa.array(list(map(len, sets)), pa.int64()), pa.array([band_keys(s) for s in sets], pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], ["doc_id", "at", "chars", "keys"])
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [shingle_set(t.as_py(), words).view(np.int64) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], ["at", "shingles"])
+
+    text = F.col(text_column).cast("binary")
+    marked = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.xxhash64(text).alias("at"), text.alias("_text"))
+    rows = stored(marked.mapInArrow(sketches, "doc_id long, at long, chars long, keys array<long>"), "sketches")
+    classes = rows.groupBy("at").agg(F.first("chars").alias("chars"), F.first("keys").alias("keys"))
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        pairs = stored(pairs, "candidates")
+        places = pairs.select(F.col("a").alias("at")).unionByName(pairs.select(F.col("b").alias("at"))).distinct()
+        texts = sized_join(marked.select("at", "_text"), places, ["at"], "left_semi").mapInArrow(sets, "at long, shingles array<long>")
+        texts = stored(texts.dropDuplicates(["at"]), "shingles")
+        both = pairs.join(texts.select(F.col("at").alias("a"), F.col("shingles").alias("left")), "a")
+        both = both.join(texts.select(F.col("at").alias("b"), F.col("shingles").alias("right")), "b")
+        common = F.size(F.array_intersect("left", "right"))
+        return both.filter(common >= F.lit(least) * (F.size("left") + F.size("right") - common) - 1e-9).select("a", "b")
+
+    found = connected_groups(listed_links(classes.select("at", "chars", F.explode("keys").alias("key")), verified, least))
+    rooted = rows.join(found.withColumnRenamed("node", "at"), "at", "left")
+    return rooted.select("doc_id", F.col("at").alias("text_hash"), F.coalesce("root", "at").alias("root"))
+
+
 def hex_fingerprint(fp: str = "fp") -> Column:
     return F.lpad(F.lower(F.hex(F.col(fp))), BITS // 4, "0")
 
 
-def one_per_group(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", limit: int = 4, words: int = 4) -> DataFrame:
-    """The rows of ``docs`` of which one per group stays: the smallest id, then the smallest text hash; one of repeated rows."""
-    found = stored(near_duplicates(docs, id_column, text_column, limit, words), "groups")
+def one_per_group(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", limit: int = 4, words: int = 4, least: float | None = None) -> DataFrame:
+    """The rows of ``docs`` of which one per group stays: the smallest id, then the smallest text hash; one of repeated rows.
+
+    With ``least`` the groups are those of ``similar_documents`` with five words, else those of ``near_duplicates``.
+    """
+    if least is None:
+        found = stored(near_duplicates(docs, id_column, text_column, limit, words), "groups")
+    else:
+        found = stored(similar_documents(docs, id_column, text_column, least), "groups")
     best = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("best")
     kept = found.groupBy("root").agg(best).select("root", F.struct("best.doc_id", "best.text_hash").alias("best"))
     # The root of a huge group is one row of the small side; counts are taken before the join.
