@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.functions.text import bind, once
-from textloom.llm.common import stored, without_rows
+from textloom.llm.common import sized_join, stored, without_rows
 
 # Fixed values of the base rules: white space, symbol characters, fewest words, largest share of repeated words in percent.
 SPACE = " \t\n\x0b\f\r"
@@ -163,12 +163,12 @@ def features(
     guess = F.coalesce(*[F.when(hits[lang] == most, F.lit(lang)) for lang in common])
     language = F.when(F.col("lang").isin(*common), F.col("lang")).otherwise(guess)
     words = F.coalesce(*[F.when(F.col("list") == lang, F.col(f"_m.words.{lang}")) for lang in common])
-    rows = rows.withColumn("list", language).withColumn("counted", words)
-    return rows.select("doc_id", "text_hash", "lang", "list", "_m.base.*", F.col("counted").alias("words"))
+    rows = rows.withColumn("list", language).withColumn("counted", words).withColumn("judged", F.coalesce("lang", "list"))
+    return rows.select("doc_id", "text_hash", "lang", "list", "judged", "_m.base.*", F.col("counted").alias("words"))
 
 
-def references(found: DataFrame) -> DataFrame:
-    """Per word list: summed histograms of all well-formed documents, one row per language of ``COMMON``.
+def references(found: DataFrame, by: str = "list") -> DataFrame:
+    """Summed histograms of all well-formed documents: one row per word list (a language of ``COMMON``) or, by ``judged``, per language.
 
     Well-formed: the base rules hold, and there is at most one symbol character per ten words, so that what the distances are to
     find does not shape the reference.
@@ -176,25 +176,32 @@ def references(found: DataFrame) -> DataFrame:
     good = found.filter(~base_failed() & (10 * F.col("n_symbols") <= F.col("n_words")))
     n_words = len(next(iter(COMMON.values()))) + 1
     sums = [F.sum(F.get("classes", F.lit(i))) for i in range(N_CLASSES)], [F.sum(F.get("words", F.lit(i))) for i in range(n_words)]
-    return good.groupBy("list").agg(F.array(*sums[0]).alias("ref_classes"), F.array(*sums[1]).alias("ref_words"), F.sum("n_words").alias("ref_n"))
+    return good.groupBy(by).agg(F.array(*sums[0]).alias("ref_classes"), F.array(*sums[1]).alias("ref_words"), F.sum("n_words").alias("ref_n"))
 
 
 def base_failed() -> Column:
     return (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
 
 
-def quality_verdicts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang") -> DataFrame:
+def quality_verdicts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang", own: bool = False) -> DataFrame:
     """Base counts, ``base_failed``, both distances and ``kept`` per row of ``docs``.
 
     ``kept`` is false if the base rules fail or a judged distance is above its limit. A histogram is judged only if the document has at
     least ``LEAST_CHARS`` characters (or ``LEAST_LETTER_WORDS`` words of letters) and its language at least ``LEAST_REFERENCE`` words;
     otherwise its distance is NULL. NULL texts have no word and fail. NULL or unlisted languages are judged by the list that
     fits the text best. Repeated rows and NULL ids stay; other columns are not read.
+
+    With ``own`` an unlisted language has a reference of its own and no part in that of a list: its documents are judged by their
+    character classes, and their word distance is NULL, since there is no list for it.
     """
     found = stored(features(docs, id_column, text_column, lang_column), "quality")
-    # One row per language of COMMON; its size is known from the stored file.
-    known = stored(references(found), "references")
-    rows = found.join(known, "list", "left")
+    if own:
+        known = references(found, "judged").withColumn("ref_words", F.when(F.col("judged").isin(*COMMON), F.col("ref_words")))
+        rows = sized_join(found, known, ["judged"], "left")
+    else:
+        # One row per language of COMMON; its size is known from the stored file.
+        known = stored(references(found), "references")
+        rows = found.join(known, "list", "left")
     chars = F.aggregate("classes", F.lit(0).cast("long"), lambda a, b: a + b)
     letters = F.aggregate("words", F.lit(0).cast("long"), lambda a, b: a + b)
     enough = F.coalesce(F.col("ref_n") >= LEAST_REFERENCE, F.lit(False))
@@ -202,7 +209,7 @@ def quality_verdicts(docs: DataFrame, id_column: str = "doc_id", text_column: st
         {
             "base_failed": base_failed(),
             "class_distance": F.when(enough & (chars >= LEAST_CHARS), F.round(shannon_distance(F.col("classes"), F.col("ref_classes")), 6)),
-            "word_distance": F.when(enough & (letters >= LEAST_LETTER_WORDS), F.round(shannon_distance(F.col("words"), F.col("ref_words")), 6)),
+            "word_distance": F.when(enough & F.col("ref_words").isNotNull() & (letters >= LEAST_LETTER_WORDS), F.round(shannon_distance(F.col("words"), F.col("ref_words")), 6)),
         }
     )
     far = F.coalesce(F.col("class_distance") > MOST_CLASS_DISTANCE, F.lit(False)) | F.coalesce(F.col("word_distance") > MOST_WORD_DISTANCE, F.lit(False))
@@ -210,7 +217,7 @@ def quality_verdicts(docs: DataFrame, id_column: str = "doc_id", text_column: st
     return rows.withColumn("kept", ~F.col("base_failed") & ~far).select(*names, "kept")
 
 
-def keep_good(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang") -> DataFrame:
+def keep_good(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang", own: bool = False) -> DataFrame:
     """The rows of ``docs`` that the verdict keeps."""
-    verdicts = quality_verdicts(docs, id_column, text_column, lang_column)
+    verdicts = quality_verdicts(docs, id_column, text_column, lang_column, own)
     return without_rows(docs, verdicts.filter(~F.col("kept")), id_column, text_column)
