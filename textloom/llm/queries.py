@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textloom.llm import decontaminate, html_text, licenses, line_dedup, near_dup, packing, quality, token_files, toxicity, warc
+from textloom.llm import collocations, decontaminate, html_text, licenses, line_dedup, near_dup, packing, quality, token_files, toxicity, warc
 from textloom.llm.common import table
 from textloom.llm.tokens import path_of
 
@@ -173,3 +173,37 @@ FROM judged
 @_query
 def op7_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents"), most_bits=None).select("doc_id", "text", "n_lines", "n_removed")
+
+
+@_query
+def op11_son_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op11_son_collocations"] = rf"""
+WITH pieces AS (
+  SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\x0A-\x0D]')) AS p FROM documents)
+), sizes AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM pieces GROUP BY lang),
+grams AS (
+  SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS phrase
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM pieces, (SELECT unnest([1, 2, 3, 4, 5]) AS k) WHERE len(w) >= k)
+), f AS MATERIALIZED (
+  SELECT lang, k, phrase, string_split(phrase, ' ') AS w, count(*) AS a FROM grams GROUP BY lang, k, phrase HAVING count(*) >= 100
+), longer AS (
+  SELECT DISTINCT lang, a, array_to_string(w[i : i + j - 1], ' ') AS phrase
+  FROM (SELECT *, unnest(range(1, k - j + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS j FROM f WHERE k > 2))
+), cuts AS (
+  SELECT f.lang, f.phrase, f.a, j, p.a AS l, q.a AS r, n, CAST((1000::HUGEINT * f.a * n) // (p.a::HUGEINT * q.a) AS BIGINT) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM f WHERE k > 1) f
+  JOIN f p ON p.lang = f.lang AND p.phrase = array_to_string(f.w[1 : j], ' ')
+  JOIN f q ON q.lang = f.lang AND q.phrase = array_to_string(f.w[j + 1 :], ' ')
+  JOIN sizes s ON s.lang = f.lang
+  WHERE NOT EXISTS (FROM longer b WHERE b.lang = f.lang AND b.phrase = f.phrase AND 100 * b.a >= 100 * f.a)
+), best AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1
+)
+SELECT * FROM (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM best
+) WHERE rank <= 2000
+"""
