@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from textloom.llm import collocations, decontaminate, html_text, licenses, line_dedup, near_dup, packing, quality, token_files, toxicity, warc
+from textloom.llm import collocations, decontaminate, html_text, language_id, licenses, line_dedup, near_dup, packing, quality, token_files, toxicity, warc
 from textloom.llm.common import table
 from textloom.llm.tokens import path_of
 
@@ -207,3 +208,9 @@ SELECT * FROM (
   SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM best
 ) WHERE rank <= 2000
 """
+
+
+@_query
+def op12_centroid_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = language_id.identify_languages(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "held_out", F.col("nearest").alias("lang_pred"), "score", "rejected")
