@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import collocations, decontaminate, html_text, language_id, licenses, line_dedup, near_dup, packing, quality, token_files, toxicity, warc
+from textloom.llm import collocations, decontaminate, hard_negatives, html_text, language_id, licenses, line_dedup, near_dup, packing, quality, token_files, toxicity, warc
 from textloom.llm.common import table
 from textloom.llm.tokens import path_of
 
@@ -214,3 +214,27 @@ SELECT * FROM (
 def op12_centroid_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = language_id.identify_languages(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "held_out", F.col("nearest").alias("lang_pred"), "score", "rejected")
+
+
+@_query
+def op13_str_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings").withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+ORACLES["op13_str_hard_negatives"] = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS MATERIALIZED (
+  SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id, CAST(list_inner_product(a.e, b.e) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
