@@ -196,14 +196,14 @@ def usable_vectors(vectors: DataFrame, id_column: str = "vec_id", vector_column:
 class Tree:
     """The stored tiles of an R-tree, and a directory of their boxes that tasks read block by block."""
 
-    def __init__(self, rows: DataFrame):
-        """``rows`` (``vec_id``, ``label``, ``row``); shorter vectors count as filled up with zeros."""
+    def __init__(self, rows: DataFrame, tile: int = TILE):
+        """``rows`` (``vec_id``, ``label``, ``row``); shorter vectors count as filled up with zeros. A tile holds ``tile`` rows."""
         self.spark = rows.sparkSession
         rows = stored(rows, "vectors")
         size = rows.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("row")).alias("width")).first()
         self.n, self.width = size["n"], max(1, size["width"] or 1)
         self.rows = rows.withColumn("row", F.concat("row", F.array_repeat(F.lit(0), F.lit(self.width) - F.size("row"))))
-        tiles = -(-self.n // TILE)
+        tiles = -(-self.n // tile)
         shared = self.spark.sparkContext.broadcast(self._cuts(tiles))
         width = self.width
 
@@ -220,14 +220,14 @@ class Tree:
             for batch in batches:
                 held.append(batch)
                 size += batch.num_rows
-                while size >= 2 * TILE:
+                while size >= 2 * tile:
                     table = pa.Table.from_batches(held)
-                    yield _tile(base, table.slice(0, TILE), width)
-                    base, held, size = base + 1, table.slice(TILE).to_batches(), size - TILE
+                    yield _tile(base, table.slice(0, tile), width)
+                    base, held, size = base + 1, table.slice(tile).to_batches(), size - tile
             if size:
                 table = pa.Table.from_batches(held)
-                for at in range(0, size, TILE):
-                    yield _tile(base, table.slice(at, TILE), width)
+                for at in range(0, size, tile):
+                    yield _tile(base, table.slice(at, tile), width)
                     base += 1
 
         marked = self.rows.mapInArrow(assign, "vec_id long, label long, row array<int>, slab long, along int")
@@ -363,7 +363,7 @@ def _directory(folder: str, width: int) -> Iterator[tuple[np.ndarray, np.ndarray
 
 def hard_negatives(
     vectors: DataFrame, anchors: Column, id_column: str = "vec_id", vector_column: str = "embedding", label_column: str = "label",
-    positives: int = 5, negatives: int = 10, low: int = 30, high: int = 90, scale: float = 256.0,
+    positives: int = 5, negatives: int = 10, low: int = 30, high: int = 90, scale: float = 256.0, tile: int = TILE,
 ) -> DataFrame:
     """(``anchor_id``, ``positive_id``, ``rank``, ``negative_id``, ``positive_score``, ``negative_score``), exactly.
 
@@ -372,7 +372,7 @@ def hard_negatives(
     products of the components ``floor(scale * x)``. Which rows take part: ``usable_vectors``. Vectors of different lengths are
     compared as if the shorter one ended with zeros. An empty table, or one without anchors, gives an empty result; other columns are not read.
     """
-    tree = Tree(usable_vectors(vectors, id_column, vector_column, label_column, scale))
+    tree = Tree(usable_vectors(vectors, id_column, vector_column, label_column, scale), tile)
     asked = tree.rows.filter(anchors).select(F.col("vec_id").alias("anchor_id"), "label", "row")
     whole = asked.select("*", F.lit(0).cast("long").alias("request"), F.lit(True).alias("same"), F.lit(LOWEST).alias("low"), F.lit(HIGHEST).alias("high"))
     near = stored(tree.search(whole, positives).select("anchor_id", F.col("vec_id").alias("positive_id"), F.col("score").alias("positive_score")), "positives")
