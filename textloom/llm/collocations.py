@@ -27,7 +27,9 @@ from textloom.operators.skew import lookup_join
 
 SHARDS = 16
 # Bytes of text that are counted together in a task; texts and pieces that are longer make a larger chunk.
-CHUNK = 8 << 20
+CHUNK = 3 << 20
+# Rows of counts that leave a task at once.
+ROWS = 1 << 16
 # Bits of the table that holds the hashes of frequent phrases: 8 MB.
 FILTER_BITS = 26
 COUNTS = "lang string, shard int, phrase binary, n long"
@@ -169,8 +171,9 @@ def _counter(lengths: range, table: Broadcast | None, filter_bits: int, sharded:
                     here = np.flatnonzero(words)
                     yield rows(here, pa.array([b""] * len(here), pa.binary()), words[here])
                 for length, at, n in chunk.phrases(lengths[-1], passes):
-                    if length in lengths:
-                        yield rows(chunk.groups[at], chunk.texts(at, length), n)
+                    for i in range(0, len(at) if length in lengths else 0, ROWS):
+                        some = at[i : i + ROWS]
+                        yield rows(chunk.groups[some], chunk.texts(some, length), n[i : i + ROWS])
 
     return count
 
