@@ -101,14 +101,16 @@ def test_empty_table(spark):
     assert C.collocations(spark.createDataFrame([], SCHEMA)).collect() == []
 
 
-def test_hash_of_a_phrase():
-    chunk = C.Chunk([b"x New york CITY. b"], [0], np.array([C.group_seed(b"en", 3)], np.uint64))
-    seen = {}
-
-    def passes(length, marks):
-        seen[length] = marks
-        return np.ones(len(marks), bool)
-
-    for length, at, _ in chunk.phrases(3, passes):
-        for i, text in zip(at, chunk.texts(at, length).to_pylist(), strict=True):
-            assert C.phrase_hash(text, C.group_seed(b"en", 3)) in set(seen[length].tolist()), (i, text)
+def test_windows_and_distinct_phrases():
+    chunk = C.Chunk([b"x New york CITY. b", b"new york"], [0, 3], "en")
+    found = {}
+    for length, at, marks in chunk.windows(3, lambda length, marks, shards: np.ones(len(marks), bool)):
+        places, n = chunk.distinct(at, length)
+        found[length] = dict(zip(chunk.texts(places, length).to_pylist(), n.tolist(), strict=True))
+        # One hash per phrase and language.
+        assert len(set(marks.tolist())) == len(places)
+    assert found[2] == {b"x new": 1, b"new york": 2, b"york city": 1} and found[3] == {b"x new york": 1, b"new york city": 1}
+    assert found[1][b"new"] == 2 and chunk.shards.tolist() == [0, 0, 0, 0, 0, 3, 3]
+    marks = C._first(chunk.hashes, chunk.seed)
+    assert (C.keys_of(marks, chunk.shards).view(np.int64) < 0).all()
+    assert (C.keys_of(marks, 5) & np.uint64(255) == 5).all()

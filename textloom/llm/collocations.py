@@ -7,7 +7,8 @@ both of its one-word-shorter parts are), the locally frequent phrases are united
 
 A shard is no task: every task counts its chunks of text for all shards, and Spark adds up (language, shard, phrase). So the number of
 shards, and with it the local support, does not depend on the size of the table. What the level below found reaches the tasks as a bit table of fixed size
-on phrase hashes. A chance hit there costs a row that the exact counts drop; phrases themselves are never replaced by hashes.
+on phrase hashes, and local counts are kept on hashes too: what two phrases share by chance makes a candidate more, never
+one less. The last scan counts the phrases themselves.
 """
 
 from __future__ import annotations
@@ -32,7 +33,8 @@ CHUNK = 3 << 20
 ROWS = 1 << 16
 # Bits of the table that holds the hashes of frequent phrases: 8 MB.
 FILTER_BITS = 26
-COUNTS = "lang string, shard int, phrase binary, n long"
+# What tasks count on: the hash of language and phrase, with the shard in its last eight bits.
+LOCAL, GLOBAL = "key long, lang long, n long", "lang string, phrase binary, n long"
 
 WORD, BLANK, BREAK = 0, 1, 2
 KIND = np.zeros(256, np.uint8)
@@ -44,9 +46,9 @@ _MIX = np.uint64(0x9E3779B97F4A7C15)
 _STEP = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
-def _first(words: np.ndarray, seeds: np.ndarray) -> np.ndarray:
-    """Hashes of one-word phrases, from hashes of words and of their (language, shard)."""
-    mixed = (words ^ seeds) * _MIX
+def _first(words: np.ndarray, seed: np.uint64) -> np.ndarray:
+    """Hashes of one-word phrases, from hashes of words and of their language."""
+    mixed = (words ^ seed) * _MIX
     return mixed ^ (mixed >> np.uint64(29))
 
 
@@ -56,29 +58,25 @@ def _longer(phrases: np.ndarray, words: np.ndarray) -> np.ndarray:
     return mixed ^ (mixed >> np.uint64(29))
 
 
-def group_seed(lang: bytes, shard: int) -> int:
-    return xxhash.xxh64_intdigest(lang, shard + 1)
+def lang_seed(lang: str) -> int:
+    return xxhash.xxh64_intdigest(lang.encode(), 1)
 
 
-def phrase_hash(phrase: bytes, seed: int) -> int:
-    """What the bit table knows a phrase by; words are separated by one space."""
-    words = np.array([xxhash.xxh64_intdigest(w) for w in phrase.split(b" ")], np.uint64)
-    found = _first(words[:1], np.array([seed], np.uint64))
-    for i in range(1, len(words)):
-        found = _longer(found, words[i : i + 1])
-    return int(found[0])
+def keys_of(marks: np.ndarray, shards: np.ndarray | int) -> np.ndarray:
+    """Phrase hashes as keys of a shard; never below 256, which stand for the numbers of words."""
+    return ((marks | np.uint64(1 << 63)) & ~np.uint64(255)) | np.asarray(shards).astype(np.uint64)
 
 
 class Chunk:
-    """The words of some texts as numbers, with the piece and the group (language, shard) of each."""
+    """The words of some texts of one language as numbers, with the piece and the shard of each."""
 
-    def __init__(self, texts: list[bytes], groups: list[int], seeds: np.ndarray):
+    def __init__(self, texts: list[bytes], shards: list[int], lang: str):
         data = LOWER[np.frombuffer(b"\n".join(texts), np.uint8)]
         kind = KIND[data]
         inside = kind == WORD
         edges = np.diff(inside.astype(np.int8), prepend=np.int8(0), append=np.int8(0))
         starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
-        self.size = len(starts)
+        self.size, self.seed = len(starts), np.uint64(lang_seed(lang))
         offsets = np.zeros(self.size + 1, np.int64)
         np.cumsum(ends - starts, out=offsets[1:])
         spans = pa.LargeBinaryArray.from_buffers(pa.large_binary(), self.size, [None, pa.py_buffer(offsets), pa.py_buffer(data[inside])])
@@ -86,29 +84,32 @@ class Chunk:
         self.vocabulary, self.words = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
         self.pieces = np.cumsum(kind == BREAK, dtype=np.int32)[starts] if self.size else np.zeros(0, np.int32)
         first = np.cumsum([0, *[len(t) + 1 for t in texts]])[:-1]
-        self.groups = np.asarray(groups, np.int64)[np.searchsorted(first, starts, "right") - 1]
+        self.shards = np.asarray(shards, np.uint8)[np.searchsorted(first, starts, "right") - 1]
         hashes = np.array([xxhash.xxh64_intdigest(w) for w in self.vocabulary.to_pylist()], np.uint64)
         self.hashes = hashes[self.words] if self.size else np.zeros(0, np.uint64)
-        self.seeds = seeds
 
-    def phrases(self, longest: int, passes) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """Per length: a place of each distinct phrase of a group, and how often it occurs there.
+    def windows(self, longest: int, passes) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Per length: the places and the hashes of all phrases.
 
-        ``passes(length, hashes)`` says which of the phrases may go on to longer ones and are yielded.
+        ``passes(length, hashes, shards)`` says which of the phrases may go on to longer ones and are yielded.
         """
-        marks = _first(self.hashes, self.seeds[self.groups])
-        codes, at = self.groups * max(1, len(self.vocabulary)) + self.words, np.arange(self.size)
+        marks, at = _first(self.hashes, self.seed), np.arange(self.size)
         for length in range(1, longest + 1):
-            keep = passes(length, marks)
-            codes, at, marks = codes[keep], at[keep], marks[keep]
-            if not len(at):
-                return
-            _, place, codes, n = np.unique(codes, return_index=True, return_inverse=True, return_counts=True)
-            yield length, at[place], n
-            follows = np.flatnonzero((at[1:] == at[:-1] + 1) & (self.pieces[at[1:]] == self.pieces[at[:-1]]))
-            # Two phrases that overlap in all but one word make the phrase that is one word longer.
-            codes = codes[follows] * len(n) + codes[follows + 1]
-            marks, at = _longer(marks[follows], self.hashes[at[follows] + length]), at[follows]
+            if length > 1:
+                # Two phrases that overlap in all but one word make the phrase that is one word longer.
+                follows = np.flatnonzero((at[1:] == at[:-1] + 1) & (self.pieces[at[1:]] == self.pieces[at[:-1]]))
+                marks, at = _longer(marks[follows], self.hashes[at[follows] + length - 1]), at[follows]
+            keep = passes(length, marks, self.shards[at])
+            marks, at = marks[keep], at[keep]
+            yield length, at, marks
+
+    def distinct(self, at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+        """A place of each distinct phrase, and how often it occurs; phrases are compared word by word."""
+        codes = self.words[at]
+        for i in range(1, length):
+            _, codes = np.unique(codes * len(self.vocabulary) + self.words[at + i], return_inverse=True)
+        _, place, n = np.unique(codes, return_index=True, return_counts=True)
+        return at[place], n
 
     def texts(self, at: np.ndarray, length: int) -> pa.Array:
         parts = [self.vocabulary.take(pa.array(self.words[at + i])) for i in range(length)]
@@ -136,66 +137,77 @@ def _slices(texts: list[bytes], groups: list[int]) -> Iterator[tuple[list[bytes]
         yield held, of
 
 
-def _counter(lengths: range, table: Broadcast | None, filter_bits: int, sharded: bool, gate: int):
-    """Task: counts of phrases of ``lengths`` words per (language, shard).
+def _bit_index(keys: np.ndarray, filter_bits: int) -> np.ndarray:
+    """The bit of a key: some bits of the hash, moved by the shard."""
+    moved = ((keys & np.uint64(255)) * np.uint64(0x9E3779B1)) & np.uint64((1 << filter_bits) - 1)
+    return ((keys >> np.uint64(63 - filter_bits)) & np.uint64((1 << filter_bits) - 1)) ^ moved
 
-    Phrases up to ``gate`` words must be in the bit table. With ``sharded`` the hashes and the counts are those of a shard, else of a language.
-    The empty phrase counts the words.
+
+def _bit_table(keys: DataFrame, filter_bits: int) -> Broadcast:
+    """Keys as a bit table: at most 2^``filter_bits`` bits reach the driver."""
+    most = (1 << filter_bits) - 1
+    bit = F.shiftrightunsigned("key", 63 - filter_bits).bitwiseAND(F.lit(most)).bitwiseXOR((F.col("key").bitwiseAND(F.lit(255)) * F.lit(0x9E3779B1)).bitwiseAND(F.lit(most)))
+    bits = keys.select(bit.alias("bit"))
+    words = bits.groupBy(F.shiftright("bit", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits"))
+    got = words.toArrow()
+    table = np.zeros(max(1, 1 << max(0, filter_bits - 6)), "<u8")
+    table[got.column("word").to_numpy()] = got.column("bits").to_numpy().view(np.uint64)
+    return keys.sparkSession.sparkContext.broadcast(table.tobytes())
+
+
+def _counter(lengths: range, table: Broadcast | None, filter_bits: int, local: bool, gate: int):
+    """Task: counts of phrases of ``lengths`` words; phrases up to ``gate`` words must be in the bit table.
+
+    With ``local`` rows are keys of a shard with the hash of the language, and the numbers of words stand under the shards' own numbers; without,
+    rows are languages and phrases.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(table.value, np.uint8) if table is not None else None
 
-        def passes(length: int, marks: np.ndarray) -> np.ndarray:
+        def passes(length: int, marks: np.ndarray, shards: np.ndarray) -> np.ndarray:
             if bits is None or length > gate:
                 return np.ones(len(marks), bool)
-            low = marks >> np.uint64(64 - filter_bits)
-            return (bits[low >> np.uint64(3)] >> (low & np.uint64(7)).astype(np.uint8)) & 1 == 1
+            bit = _bit_index(keys_of(marks, shards if local else 0), filter_bits)
+            return (bits[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+        def local_rows(chunk: Chunk) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            if 1 in lengths:
+                words = np.bincount(chunk.shards, minlength=256)
+                yield np.flatnonzero(words), words[words > 0]
+            for length, at, marks in chunk.windows(lengths[-1], passes):
+                if length in lengths and len(at):
+                    # Equal hashes of two phrases would add up: a candidate more, never one less.
+                    yield np.unique(keys_of(marks, chunk.shards[at]), return_counts=True)
 
         for batch in batches:
-            langs, shards = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            known: dict[tuple[str, int], int] = {}
-            groups = [known.setdefault((g, s if sharded else -1), len(known)) for g, s in zip(langs, shards, strict=True)]
-            names = list(known)
-            seeds = np.array([group_seed(g.encode(), s) for g, s in names], np.uint64)
-            lang_of, shard_of = pa.array([g for g, _ in names], pa.string()), np.array([s for _, s in names], np.int32)
-            for texts, of in _slices([t.as_py() for t in batch.column(2)], groups):
-                chunk = Chunk(texts, of, seeds)
-
-                def rows(group: np.ndarray, phrase: pa.Array, n: np.ndarray) -> pa.RecordBatch:
-                    columns = [lang_of.take(pa.array(group)), pa.array(shard_of[group]), phrase, pa.array(n.astype(np.int64))]
-                    return pa.RecordBatch.from_arrays(columns, ["lang", "shard", "phrase", "n"])
-
-                if 1 in lengths and chunk.size:
-                    words = np.bincount(chunk.groups, minlength=len(names))
-                    here = np.flatnonzero(words)
-                    yield rows(here, pa.array([b""] * len(here), pa.binary()), words[here])
-                for length, at, n in chunk.phrases(lengths[-1], passes):
-                    for i in range(0, len(at) if length in lengths else 0, ROWS):
-                        some = at[i : i + ROWS]
-                        yield rows(chunk.groups[some], chunk.texts(some, length), n[i : i + ROWS])
+            by_lang: dict[str, tuple[list[bytes], list[int]]] = {}
+            for lang, shard, text in zip(*(batch.column(i) for i in range(3)), strict=True):
+                texts, shards = by_lang.setdefault(lang.as_py(), ([], []))
+                texts.append(text.as_py())
+                shards.append(shard.as_py())
+            for lang, (texts, shards) in by_lang.items():
+                seed = lang_seed(lang) - (1 << 63)
+                for some, of in _slices(texts, shards):
+                    chunk = Chunk(some, of, lang)
+                    if local:
+                        for key, n in local_rows(chunk):
+                            for i in range(0, len(key), ROWS):
+                                part = slice(i, i + ROWS)
+                                columns = [pa.array(key[part].view(np.int64)), pa.array(np.full(len(key[part]), seed)), pa.array(n[part].astype(np.int64))]
+                                yield pa.RecordBatch.from_arrays(columns, ["key", "lang", "n"])
+                        continue
+                    for length, places, _ in chunk.windows(lengths[-1], passes):
+                        at, n = chunk.distinct(places, length)
+                        for i in range(0, len(at), ROWS):
+                            part = slice(i, i + ROWS)
+                            phrases = chunk.texts(at[part], length)
+                            columns = [pa.array([lang] * len(phrases), pa.string()), phrases, pa.array(n[part].astype(np.int64))]
+                            yield pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "n"])
 
     return count
 
 
-def _bit_table(phrases: DataFrame, filter_bits: int) -> Broadcast:
-    """The hashes of phrases (``lang``, ``shard``, ``phrase``) as a bit table: at most 2^``filter_bits`` bits reach the driver."""
-
-    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            langs, shards, texts = (c.to_pylist() for c in batch.columns)
-            seeds = {key: group_seed(key[0].encode(), key[1]) for key in set(zip(langs, shards, strict=True))}
-            found = [phrase_hash(t, seeds[g, s]) >> (64 - filter_bits) for g, s, t in zip(langs, shards, texts, strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64())], ["bit"])
-
-    bits = phrases.select("lang", "shard", "phrase").mapInArrow(places, "bit long")
-    words = bits.groupBy(F.shiftright("bit", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits"))
-    got = words.toArrow()
-    table = np.zeros(max(1, 1 << (filter_bits - 6)), "<u8")
-    table[got.column("word").to_numpy()] = got.column("bits").to_numpy().view(np.uint64)
-    return phrases.sparkSession.sparkContext.broadcast(table.tobytes())
-
-
 def phrase_counts(
     docs: DataFrame, text_column: str = "text", lang_column: str = "lang", least: int = 100, longest: int = 5,
     shards: int = SHARDS, filter_bits: int = FILTER_BITS,
@@ -206,40 +218,46 @@ def phrase_counts(
     lie within a piece and may overlap. ``n`` is the number of words of the language. A NULL language is ``und``, a NULL text is empty.
     Repeated rows count each time; an empty table gives empty results; other columns are not read.
     """
-    if longest < 1 or least < 1:
-        raise ValueError("phrases have a word and occur once at least")
+    if longest < 1 or least < 1 or not 1 <= shards <= 256:
+        raise ValueError("phrases have a word and occur once at least; there are 1 to 256 shards")
     text = F.coalesce(F.col(text_column).cast("binary"), F.lit(b""))
     lang = F.coalesce(F.col(lang_column).cast("string"), F.lit("und"))
     rows = docs.select(lang.alias("lang"), F.pmod(F.xxhash64(text), F.lit(shards)).cast("int").alias("shard"), text.alias("_text"))
 
-    def scan(lengths: range, table: Broadcast | None, sharded: bool = True, gate: int = 1) -> DataFrame:
-        found = rows.mapInArrow(_counter(lengths, table, filter_bits, sharded, gate), COUNTS)
-        return found.groupBy("lang", "shard", "phrase").agg(F.sum("n").alias("n"))
+    def mine(lengths: range, table: Broadcast | None, gate: int = 1) -> DataFrame:
+        found = rows.mapInArrow(_counter(lengths, table, filter_bits, True, gate), LOCAL)
+        return found.groupBy("key", "lang").agg(F.sum("n").alias("n"))
 
-    words = stored(scan(range(1, 2), None), "words")
-    totals = words.filter(F.length("phrase") == 0).select("lang", "shard", "n")
+    words = stored(mine(range(1, 2), None), "words")
+    shard = F.col("key").bitwiseAND(F.lit(255)).cast("int").alias("shard")
+    # Hashes have their first bit set, so they are negative.
+    totals = words.filter("key >= 0").select("lang", shard, "n")
     sizes = stored(totals.groupBy("lang").agg(F.sum("n").alias("n")), "sizes")
     local = totals.select("lang", "shard", F.col("n").alias("in_shard")).join(sizes.withColumnRenamed("n", "in_lang"), "lang")
     local = stored(local.select("lang", "shard", F.expr(f"({least}L * in_shard + in_lang - 1) div in_lang").alias("local")), "local")
 
     def frequent(counts: DataFrame) -> DataFrame:
-        kept = sized_join(counts.filter(F.length("phrase") > 0), local, ["lang", "shard"]).filter("n >= local")
-        return stored(kept.select("lang", "shard", "phrase"), "frequent")
+        kept = sized_join(counts.filter("key < 0").select("key", "lang", "n", shard), local, ["lang", "shard"]).filter("n >= local")
+        return stored(kept.select("key"), "frequent")
 
-    mined = [frequent(words)]
+    mined = frequent(words)
     if longest > 1:
-        mined.append(frequent(scan(range(2, 3), _bit_table(mined[0], filter_bits))))
+        mined = mined.unionByName(frequent(mine(range(2, 3), _bit_table(mined, filter_bits))))
     if longest > 2:
-        both = mined[0].unionByName(mined[1])
-        mined.append(frequent(scan(range(3, longest + 1), _bit_table(both, filter_bits), gate=2)))
-    candidates = mined[0]
-    for more in mined[1:]:
-        candidates = candidates.unionByName(more)
-    candidates = stored(candidates.select("lang", F.lit(-1).alias("shard"), "phrase").distinct(), "candidates")
-    counted = scan(range(1, longest + 1), _bit_table(candidates, filter_bits), sharded=False, gate=longest)
-    counted = counted.filter((F.length("phrase") > 0) & (F.col("n") >= least)).withColumn("phrase", F.col("phrase").cast("string"))
-    length = F.size(F.split("phrase", " "))
-    return stored(counted.select("lang", "phrase", length.alias("length"), F.col("n").alias("a")), "phrases"), sizes
+        mined = mined.unionByName(frequent(mine(range(3, longest + 1), _bit_table(mined, filter_bits), gate=2)))
+    candidates = mined.select(F.col("key").bitwiseAND(F.lit(~255)).alias("key"))
+    counted = rows.mapInArrow(_counter(range(1, longest + 1), _bit_table(candidates, filter_bits), filter_bits, False, longest), GLOBAL)
+    counted = counted.groupBy("lang", "phrase").agg(F.sum("n").alias("a")).filter(F.col("a") >= least).withColumn("phrase", F.col("phrase").cast("string"))
+    counted = stored(counted.select("lang", "phrase", F.size(F.split("phrase", " ")).alias("length"), "a"), "phrases")
+    # Back from hashes to the names of languages.
+    names = rows.groupBy("lang").agg(F.lit(1).alias("_one")).select("lang").mapInArrow(_seeds, "lang string, seed long")
+    return counted, stored(names.join(sizes.withColumnRenamed("lang", "seed"), "seed").select("lang", "n"), "sizes")
+
+
+def _seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        seeds = [lang_seed(lang) - (1 << 63) for lang in batch.column(0).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(seeds, pa.int64())], ["lang", "seed"])
 
 
 def collocations(
