@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 from collections.abc import Mapping
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,3 +57,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the checkpoint folder and go on from there; survives the loss of executors."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def ship_library(spark: SparkSession) -> None:
+    """Let Python workers find this library where the driver has it, unless it is installed there."""
+    root, paths = str(Path(__file__).resolve().parents[1]), spark.sparkContext.environment
+    if root not in paths.get("PYTHONPATH", "").split(os.pathsep):
+        paths["PYTHONPATH"] = os.pathsep.join(filter(None, [paths.get("PYTHONPATH"), root]))

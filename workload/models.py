@@ -164,8 +164,7 @@ def generate_walks(spark, sf_dir):
     return generate.generate(ngram.ngram_counts(token_table, 2), starts, 2, max_length=STEPS)
 
 
-# Letters in the alphabet vary with the tables; the vocabulary leaves room for a good hundred merges.
-VOCABULARY = 250
+VOCABULARY = 10_000
 
 
 @query("bpe_merges")
