@@ -146,7 +146,7 @@ def fit_languages(
 ) -> Model:
     """Learn from the rows that are not held out and have an id and a language.
 
-    Document frequencies come from all of them. Centroids of a language come from at most ``most`` distinct rows, those with the smallest hash of id and text,
+    Document frequencies come from all of them. Centroids of a language come from at most ``most`` distinct rows, drawn by the hash of id and text,
     so the sample is spread over the table and the same on every run; each language is fitted in a task of its own.
     The driver gets ``DIMENSIONS`` counts and ``clusters`` centroids per language, of at most ``MOST_LANGUAGES`` languages.
     """
@@ -173,8 +173,13 @@ def fit_languages(
         idf[place] = np.log((1 + texts) / (1 + n)) + 1
 
     marked = usable.withColumn("_hash", F.xxhash64("_text"))
-    order = Window.partitionBy("_lang").orderBy(F.xxhash64("_id", "_hash"), "_id", "_hash")
-    names = marked.groupBy("_lang", "_id", "_hash").agg(F.lit(1).alias("_one")).withColumn("_at", F.row_number().over(order)).filter(F.col("_at") <= most)
+    # Rows are drawn by their hash, some more than are needed, so that no language's rows have to meet in one task.
+    spread = F.xxhash64("_id", "_hash")
+    sizes = marked.groupBy("_lang").agg((F.lit(1.5 * most) / F.count(F.lit(1))).alias("_share"))
+    drawn = sized_join(marked.select("_lang", "_id", "_hash"), sizes, ["_lang"])
+    drawn = drawn.filter(F.shiftrightunsigned(spread, 33) < F.col("_share") * F.lit(float(1 << 31)))
+    order = Window.partitionBy("_lang").orderBy(spread, "_id", "_hash")
+    names = drawn.groupBy("_lang", "_id", "_hash").agg(F.lit(1).alias("_one")).withColumn("_at", F.row_number().over(order)).filter(F.col("_at") <= most)
     sample = sized_join(marked, names.select("_lang", "_id", "_hash"), ["_lang", "_id", "_hash"], "left_semi")
     sample = stored(sample.groupBy("_lang", "_id", "_hash").agg(F.min("_text").alias("_text")), "sample")
 
