@@ -7,9 +7,9 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textloom.functions.text import bind, long_words
+from textloom.functions.text import bind, long_words, once
 from textloom.operators.ordering import top_k
-from textloom.operators.skew import lookup_join
+from textloom.operators.skew import lookup_join, lookup_table
 
 # Vocabularies up to this size are broadcast: their size is bounded by the parameter.
 LARGEST_BROADCAST = 100_000
@@ -89,3 +89,25 @@ def tfidf(
     raw = restrict(counts, vocabulary, id_column, bound).withColumn("_raw", F.col("tf") * idf)
     length = F.sqrt(F.sum(F.col("_raw") * F.col("_raw")).over(Window.partitionBy(id_column)))
     return raw.select(id_column, "term", (F.col("_raw") / length).alias("weight"))
+
+
+def tfidf_rows(df: DataFrame, id_column: str, terms: Column, vocabulary: DataFrame, n_documents: DataFrame, bound: int) -> DataFrame:
+    """As ``tfidf`` for a vocabulary of at most ``bound`` terms, worked out within each row of ``df``.
+
+    Terms are counted, looked up, weighted and scaled inside the row, so nothing is shuffled by term or by document.
+    """
+    known = lookup_table(vocabulary, "term", ["df"], bound)
+
+    def weight(c: Column) -> Column:
+        idf = lambda e: F.log((F.col("_n") + 1) / (e["df"] + 1)) + 1
+        return bind(known.get(c["term"]), lambda e: F.struct(c["term"].alias("term"), (c["tf"] * idf(e)).alias("weight")))
+
+    def scaled(rows: Column) -> Column:
+        length = F.sqrt(F.aggregate(rows, F.lit(0.0), lambda total, r: total + r["weight"] * r["weight"]))
+        return bind(length, lambda size: F.transform(rows, lambda r: F.struct(r["term"].alias("term"), (r["weight"] / size).alias("weight"))))
+
+    raw = F.filter(F.transform(counted(terms), weight), lambda r: r["weight"].isNotNull())
+    inputs = known.attach(df).withColumn("_n", n_documents.scalar().cast("double"))
+    # Projected first, so that the table is shared, then held by `once`, so that no inferred filter works the rows out again.
+    rows = once(inputs.select(id_column, bind(raw, scaled).alias("_rows")), "_kept", F.col("_rows"))
+    return rows.select(id_column, F.inline("_kept"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 from operator import and_
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -112,3 +113,36 @@ def packed_table(df: DataFrame, columns: Sequence[str], limit: int = 10_000, nam
     rows = F.sort_array(F.collect_list(F.struct(*columns)))
     message = F.lit(f"more than {limit} rows where a small table is needed")
     return few.agg(F.when(F.count(F.lit(1)) > limit, F.raise_error(message)).otherwise(rows).alias(name))
+
+
+class Lookup(NamedTuple):
+    """A one-row table with buckets of entries (``key`` and values): a key is looked for in one short bucket, inside the row.
+
+    Subqueries may not stand in array functions, so the table is attached as a column; the optimizer moves it into the
+    projection that uses it once, where it is one shared object, not a part of every row.
+    """
+
+    table: Column
+    buckets: int
+    name: str
+
+    def attach(self, df: DataFrame) -> DataFrame:
+        return df.withColumn(self.name, self.table)
+
+    def get(self, key: Column) -> Column:
+        """The entry of a key as a struct, NULL if there is none."""
+        bucket = F.get(F.col(self.name), F.pmod(F.xxhash64(key), F.lit(self.buckets)).cast("int"))
+        return F.get(F.filter(bucket, lambda e: e["key"] == key), F.lit(0))
+
+
+def lookup_table(table: DataFrame, key: str, values: Sequence[str], most: int, name: str = "_lookup") -> Lookup:
+    """A table of one row per key as a hash table inside expressions; fails above ``most`` rows."""
+    buckets = 1 << max(0, most // 2).bit_length()
+    place = F.pmod(F.xxhash64(key), F.lit(buckets)).alias("_bucket")
+    entry = F.struct(F.col(key).alias("key"), *values)
+    entries = table.limit(most + 1).select(place, entry.alias("_entry")).groupBy("_bucket").agg(F.collect_list("_entry").alias("_entries"))
+    every = table.sparkSession.range(buckets).select(F.col("id").alias("_bucket")).join(entries, "_bucket", "left")
+    ordered = F.transform(F.sort_array(F.collect_list(F.struct("_bucket", "_entries"))), lambda b: b["_entries"])
+    message = F.lit(f"more than {most} rows where a small table is needed")
+    packed = every.agg(F.when(F.sum(F.size("_entries")) > most, F.raise_error(message)).otherwise(ordered))
+    return Lookup(packed.scalar(), buckets, name)

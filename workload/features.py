@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from textloom.functions import text as t
-from textloom.operators import bayes, features, linear, metrics, ordering
+from textloom.operators import bayes, dictionary, features, linear, metrics, ordering
 from workload.registry import query, table
 
 WORDS2 = r"[\p{L}\p{N}_]{2,}"
@@ -49,14 +49,14 @@ def binary_terms(spark, sf_dir):
 
 @query(
     "known_term_counts",
-    f"""WITH {COUNTS_SQL}, vocab AS (SELECT term FROM counts JOIN documents USING (doc_id) WHERE source <> 'src1' GROUP BY term HAVING sum(tf) > 1)
-    SELECT doc_id, term, tf FROM counts WHERE term IN (SELECT term FROM vocab)""",
+    f"""WITH {COUNTS_SQL.replace('counts AS (', 'counts AS MATERIALIZED (', 1)},
+    vocab AS MATERIALIZED (SELECT term FROM counts JOIN documents USING (doc_id) WHERE source <> 'src1' GROUP BY term HAVING sum(tf) > 1)
+    SELECT doc_id, term, tf FROM counts SEMI JOIN vocab USING (term)""",
 )
 def known_term_counts(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    vocabulary = features.learn_vocabulary(features.term_counts(docs.filter("source <> 'src1'"), "doc_id")).filter("total > 1")
-    known = features.restrict(features.term_counts(docs, "doc_id"), vocabulary, "doc_id")
-    return known.select("doc_id", "term", "tf")
+    corpus = dictionary.encode_corpus(docs, "doc_id", t.long_words("text"), F.col("source") != "src1")
+    return features.term_counts(corpus.known(2), "doc_id", F.col("tokens"))
 
 
 # Terms of one to three words, counted per document.
@@ -70,9 +70,12 @@ FEATURES = 10_000
 VOCAB_SQL = f"vocab AS (SELECT term, sum(tf)::BIGINT AS total, count(*) AS df FROM gcounts GROUP BY term ORDER BY total DESC, term LIMIT {FEATURES})"
 
 
+def _grams():
+    return t.bind(t.long_words("text"), lambda words: features.word_ngrams(words, 1, 3))
+
+
 def _gram_counts(docs):
-    terms = features.word_ngrams(t.long_words("text"), 1, 3)
-    return features.term_counts(docs, "doc_id", terms)
+    return features.term_counts(docs, "doc_id", _grams())
 
 
 @query("ngram_vocab", f"WITH {GRAMS_SQL}, {VOCAB_SQL} SELECT term, total, df FROM vocab")
@@ -89,11 +92,10 @@ weights AS (SELECT doc_id, term, x / sqrt(sum(x * x) OVER (PARTITION BY doc_id))
 
 def _tfidf(split):
     """TF-IDF weights of all documents from the vocabulary of the training documents."""
-    counts = _gram_counts(split)
-    train = counts.join(split.filter("NOT is_test").select("doc_id"), "doc_id", "left_semi")
-    vocabulary = features.learn_vocabulary(train, FEATURES)
-    n_train = split.filter("NOT is_test").agg(F.count(F.lit(1)))
-    return features.tfidf(counts, vocabulary, n_train, "doc_id", FEATURES)
+    train = split.filter("NOT is_test")
+    vocabulary = features.learn_vocabulary(_gram_counts(train), FEATURES)
+    n_train = train.agg(F.count(F.lit(1)))
+    return features.tfidf_rows(split, "doc_id", _grams(), vocabulary, n_train, FEATURES)
 
 
 @query("tfidf", f"WITH {TFIDF_SQL} SELECT doc_id, term, round(weight, 6) AS weight FROM weights")

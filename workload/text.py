@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from textloom.functions import books, cleaners, keys
 from textloom.functions import text as t
-from textloom.operators import frequency, lemma
+from textloom.operators import dictionary, frequency, lemma
 from workload.registry import query, table
 
 # Fixed values shared by the Spark jobs and the SQL texts.
@@ -163,10 +163,9 @@ STOPPED = f"[w FOR w IN regexp_extract_all(lower(text), '{WORDS}') IF w NOT IN {
     SELECT d.doc_id, coalesce(k.kept, '') AS kept FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id""",
 )
 def rare_term_cut(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", t.drop_words(t.words(F.lower("text")), STOP).alias("ws"))
-    vocabulary = frequency.frequent_terms(docs.filter("source <> 'src1'"), F.col("ws"))
-    kept = frequency.keep_vocabulary(docs.select("doc_id", "ws"), "doc_id", F.col("ws"), vocabulary)
-    return kept.select("doc_id", F.array_join("tokens", " ").alias("kept"))
+    words = t.drop_words(t.words(F.lower("text")), STOP)
+    corpus = dictionary.encode_corpus(table(spark, sf_dir, "documents"), "doc_id", words, F.col("source") != "src1")
+    return corpus.known(2).select("doc_id", F.array_join("tokens", " ").alias("kept"))
 
 
 BOOK = (
