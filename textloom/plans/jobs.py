@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from textloom.functions import books, cleaners
 from textloom.functions import text as t
-from textloom.operators import bayes, bpe, chart, embed, features, frequency, generate, lemma, linear, match, metrics, ngram, ordering, profile
+from textloom.operators import bayes, bpe, chart, dictionary, embed, features, frequency, generate, lemma, linear, match, metrics, ngram, ordering, profile
 from textloom.sources import news, pages
 
 
@@ -124,8 +124,8 @@ def corpus_description_job(records: DataFrame, stop_words: Sequence[str]) -> dic
     """Describe (``id``, ``lewissplit``, ``topics``, ``body_text``): sizes, topics, lengths, vocabulary, term counts."""
     present = records.dropna(subset=["body_text"])
     tokens = present.select("id", "lewissplit", cleaners.news_tokens("body_text", stop_words).alias("raw"))
-    vocabulary = frequency.frequent_terms(tokens.filter("lewissplit = 'TRAIN'"), F.col("raw"))
-    kept = frequency.keep_vocabulary(tokens, "id", F.col("raw"), vocabulary)
+    corpus = dictionary.encode_corpus(tokens, "id", F.col("raw"), F.col("lewissplit") == "TRAIN")
+    vocabulary = corpus.terms.filter("total >= 2").select("term", F.col("total").alias("n"))
     return {
         "shape": profile.shape(records),
         "shares": profile.shares(records, "lewissplit"),
@@ -134,12 +134,12 @@ def corpus_description_job(records: DataFrame, stop_words: Sequence[str]) -> dic
         "lengths": profile.length_stats(records, "body_text"),
         "topics_per_record": profile.list_length_counts(records, t.split_commas("topics"), "n_topics"),
         "vocabulary": frequency.vocabulary_index(vocabulary),
-        "term_counts": features.term_counts(kept, "id", F.col("tokens")),
+        "term_counts": features.term_counts(corpus.known(2), "id", F.col("tokens")),
     }
 
 
 def semantic_search_job(
-    articles: DataFrame, queries: DataFrame, stop_words: Sequence[str], k: int = 5, size: int = 100, partitions: int = 1
+    articles: DataFrame, queries: DataFrame, stop_words: Sequence[str], k: int = 5, size: int = 100, partitions: int | None = None
 ) -> dict[str, DataFrame]:
     """Train word vectors on (``id``, ``text``) and find the ``k`` articles closest to each query (``query_id``, ``text``)."""
     tokens = articles.select("id", "text", cleaners.search_tokens("text", stop_words).alias("tokens")).persist()

@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 from types import ModuleType
 
-MODULES = ["text", "models", "tables", "features", "extract", "vectors"]
+MODULES = ["text", "models", "tables", "features", "extract", "vectors", "jobs"]
 
 
 def load_all() -> ModuleType:
