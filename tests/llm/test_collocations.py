@@ -93,7 +93,7 @@ def test_long_texts_are_cut_between_pieces(make, monkeypatch):
     for held, groups in portions:
         for text, group in zip(held, groups, strict=True):
             joined[group] += text
-            assert joined[group] == texts[group] or text[-1:] in b".,;:!?\n\r"
+            assert joined[group] == texts[group] or text[-1:] in b".,;:!?\n\x0b\x0c\r"
     assert [joined[i] for i in of] == texts
 
 

@@ -13,6 +13,7 @@ one less. The last scan counts the phrases themselves.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,6 +41,7 @@ WORD, BLANK, BREAK = 0, 1, 2
 KIND = np.zeros(256, np.uint8)
 KIND[[0x20, 0x09]] = BLANK
 KIND[[*b".,;:!?", *range(0x0A, 0x0E)]] = BREAK
+PIECE_END = re.compile(rb"[.,;:!?\x0A-\x0D]")
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 0x20
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -125,8 +127,8 @@ def _slices(texts: list[bytes], groups: list[int]) -> Iterator[tuple[list[bytes]
         while at < len(text):
             end = len(text)
             if end - at > CHUNK - size:
-                ends = [i for b in b".,;:!?\n\r" if (i := text.find(bytes([b]), at + CHUNK - size, at + 2 * CHUNK)) >= 0]
-                end = min(ends) + 1 if ends else end
+                found = PIECE_END.search(text, at + CHUNK - size)
+                end = found.end() if found else end
             held.append(text[at:end])
             of.append(group)
             size, at = size + end - at, end
