@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
+import uuid
+
 from pyspark.sql import functions as F
 
 from textloom.functions import markup
+from textloom.session import ensure_checkpoint_dir
 from textloom.sources import files, news, pages
 from workload.registry import query, table
 
@@ -178,12 +183,16 @@ def split_filter(spark, sf_dir):
 
 
 def _folder(spark) -> str:
-    """A fresh folder: under the shared checkpoint folder where one is set, else a local one."""
-    import uuid
+    """A fresh folder: under the shared checkpoint folder where one is set, else a local one. It is removed at exit."""
+    folder = f"{ensure_checkpoint_dir(spark)}/files-{uuid.uuid4().hex}"
+    atexit.register(_remove, spark, folder)
+    return folder
 
-    from textloom.session import ensure_checkpoint_dir
 
-    return f"{ensure_checkpoint_dir(spark)}/files-{uuid.uuid4().hex}"
+def _remove(spark, folder: str) -> None:
+    with contextlib.suppress(Exception):
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 ODD = "text || CASE doc_id % 3 WHEN 0 THEN ' \"quoted\", comma' WHEN 1 THEN chr(10) || 'next line' ELSE '' END"
