@@ -188,7 +188,7 @@ def job_book_preprocess(spark, sf_dir):
 
 @query("job_author_classifier")
 def job_author_classifier(spark, sf_dir):
-    """Accuracy and macro averages of both models over the five most frequent sources, with 50 000 features."""
+    """The reports of both models, with 50 000 features; languages stand for authors, of whom five at most are told apart."""
     posts = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.col("lang").alias("username"), "text")
     result = jobs.author_classifier_job(posts, 5, 50_000, EMOJI)
     reports = [result[f"{m}: report"].select(F.lit(m).alias("model"), "class", "precision", "recall", "f1", "support") for m in ("Logistic Regression", "Naive Bayes")]
