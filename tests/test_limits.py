@@ -1,6 +1,7 @@
 """No size, sign or spelling drops rows or changes the rule."""
 
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -35,6 +36,40 @@ def test_lemmas_to_the_end(spark):
     assert got == {"catssss": "cat", "bossesses": "boss", "dogs": "dog", "xyz": "xyz"}
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_lemmas_like_round_by_round(spark, seed):
+    rng = random.Random(seed)
+    parts = ["s", "ses", "ves", "xes", "ches", "shes", "men", "ies", "a", "cat", "e", "z"]
+    words = {"".join(rng.choices(parts, k=rng.randint(1, 6))) for _ in range(300)} | {"s" * 3000, "q" + "es" * 40}
+    known = {w[: rng.randint(1, len(w))] for w in rng.sample(sorted(w for w in words if len(w) < 100), 80)} | {"man", "f"}
+    special = {w: rng.sample(sorted(known), 2) for w in rng.sample(sorted(words), 10)}
+
+    def shorter(w):
+        return [w[: len(w) - len(end)] + new for end, new in lemma.NOUN_ENDINGS if w.endswith(end)]
+
+    def plainly(w):
+        if w in special:
+            found = [c for c in special[w] if c in known]
+            return w if w in known and all(len(c) >= len(w) for c in found) else min(found, key=lambda c: (len(c), c))
+        forms = shorter(w)
+        candidates = [w, *forms]
+        while candidates:
+            found = [c for c in candidates if c in known]
+            if found:
+                return min(found, key=lambda c: (len(c), candidates.index(c)))
+            candidates = forms = [f for c in forms for f in shorter(c)]
+        return w
+
+    table = spark.createDataFrame([(w, len(w)) for w in words] + [(None, 0)], "token string, n int")
+    dictionary = spark.createDataFrame([(w,) for w in known] * 2, "word string")
+    exceptions = spark.createDataFrame([(w, c) for w, cs in special.items() for c in cs], "word string, lemma string")
+    rows = lemma.lemma_table(table, dictionary, exceptions, ["n"]).collect()
+    assert len(rows) == len(words) + 1 and all(r.n == len(r.token or "") for r in rows)
+    assert {r.token: r.lemma for r in rows if r.token is not None} == {w: plainly(w) for w in words}
+    empty = dictionary.filter("false")
+    assert {r.token: r.lemma for r in lemma.lemma_table(table, empty).collect()} == {w: w for w in [*words, None]}
+
+
 def test_many_classes(spark):
     df = spark.range(12_000).select(F.col("id").cast("string").alias("label"), ((F.col("id") + 1) % 12_000).cast("string").alias("prediction"))
     assert metrics.class_report(df).count() == 12_003

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from textloom.functions import books, cleaners
 from textloom.functions import text as t
 from textloom.operators import bayes, bpe, chart, dictionary, embed, features, frequency, generate, lemma, linear, match, metrics, ngram, ordering, profile
+from textloom.session import cut_lineage
 from textloom.sources import news, pages
 
 
@@ -39,7 +40,7 @@ def book_preprocess_job(
     spark = raw.sparkSession
     model = bpe.learn(cleaned, "text", vocab_size)
     encoded = bpe.pieces(bpe.encode(cleaned, "doc_id", "text", model), model, "tokens")
-    counts = frequency.word_counts(cleaned, t.words(F.lower("text")))
+    counts = cut_lineage(frequency.word_counts(cleaned, t.words(F.lower("text"))))
     lemmas, stems = lemma.lemma_counts(counts, dictionary, exceptions), lemma.stem_counts(counts)
     return {
         "cleaned": cleaned,
@@ -207,8 +208,8 @@ def genre_classifier_job(
     described = songs.drop("id")
     present = songs.dropna(subset=["lyrics", "tag"])
     tokens = present.select("id", "tag", cleaners.lyric_tokens("lyrics", stop_words, emoji).alias("raw"))
-    counts = frequency.word_counts(tokens, F.col("raw"))
-    lemmas = lemma.lemma_table(counts, dictionary, exceptions).withColumnRenamed("lemma", "replacement").join(counts, "token")
+    counts = cut_lineage(frequency.word_counts(tokens, F.col("raw")))
+    lemmas = lemma.lemma_table(counts, dictionary, exceptions, ["n"]).withColumnRenamed("lemma", "replacement")
     cleaned = lemma.replace_tokens(tokens, "id", F.col("raw"), lemmas).withColumn("clean_lyrics", F.array_join("tokens", " "))
     split = ordering.smallest_share(cleaned.drop("raw", "tokens"), "id", "tag", 0.2, 42, "is_test").persist()
     train, test = split.filter("NOT is_test"), split.filter("is_test")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from textloom.functions import books, cleaners, keys
 from textloom.functions import text as t
 from textloom.operators import dictionary, frequency, lemma
+from textloom.session import cut_lineage
 from workload.registry import query, table
 
 # Fixed values shared by the Spark jobs and the SQL texts.
@@ -326,7 +327,7 @@ lc AS (SELECT coalesce(b.c, wc.token) AS lemma, sum(n)::BIGINT AS n FROM wc LEFT
 
 
 def _lemma_counts(spark, sf_dir):
-    counts = _word_counts(spark, sf_dir)
+    counts = cut_lineage(_word_counts(spark, sf_dir))
     return lemma.lemma_counts(counts, counts.filter("n >= 5").select(F.col("token").alias("word")))
 
 
@@ -361,8 +362,8 @@ def lemma_stem_diff(spark, sf_dir):
 def lyric_lemmas(spark, sf_dir):
     turns = table(spark, sf_dir, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("id"), F.expr(LYRIC).alias("lyrics"))
     lines = turns.select("id", cleaners.lyric_tokens("lyrics", STOP, EMOJI).alias("ws"))
-    counts = frequency.word_counts(lines, F.col("ws"))
+    counts = cut_lineage(frequency.word_counts(lines, F.col("ws")))
     dictionary = counts.filter("n >= 5").select(F.col("token").alias("word"))
-    lemmas = lemma.lemma_table(counts, dictionary).withColumnRenamed("lemma", "replacement").join(counts, "token")
+    lemmas = lemma.lemma_table(counts, dictionary, keep=["n"]).withColumnRenamed("lemma", "replacement")
     replaced = lemma.replace_tokens(lines.select("id", "ws"), "id", F.col("ws"), lemmas)
     return replaced.select("id", F.array_join("tokens", " ").alias("lemmas"))
