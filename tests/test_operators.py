@@ -134,6 +134,12 @@ def test_lookup_join_with_a_hot_key(spark):
     for most in (5, 1000):
         small = skew.small_join(fact, dim.drop("n"), ["key"], ["id"], "left", most)
         assert small.count() == len(rows) and small.filter("value IS NULL").count() == 2
+    few_bytes = skew.small_join(fact, dim.drop("n"), ["key"], ["id"], "left", most_bytes=10)
+    assert "BroadcastHashJoin" not in few_bytes._jdf.queryExecution().optimizedPlan().toString()
+    assert few_bytes.count() == len(rows) and few_bytes.filter("value IS NULL").count() == 2
+    assert skew.fits(dim, len(counts), 10_000) and not skew.fits(dim, len(counts) - 1, 10_000) and not skew.fits(dim, 1000, 50)
+    wide = spark.createDataFrame([("a", ["x" * 1000])], "`a.b` string, c array<string>")
+    assert skew.fits(wide, 1, 2000) and not skew.fits(wide, 1, 1000) and skew.fits(wide.limit(0), 0, 0)
 
 
 def test_packed_rows_refuses_large_tables(spark):
@@ -242,7 +248,9 @@ def test_bayes(spark, kind):
     assert all(math.isclose(r["p"], 1) for r in sums)
 
 
-def test_topic_predictions_match_one_model_per_topic(spark):
+@pytest.mark.parametrize("fits", [True, False])
+def test_topic_predictions_match_one_model_per_topic(spark, monkeypatch, fits):
+    monkeypatch.setattr(skew, "fits", lambda *_: fits)
     rng = random.Random(9)
     names = ["p", "q", "r"]
     rows = [
@@ -255,6 +263,9 @@ def test_topic_predictions_match_one_model_per_topic(spark):
     topics = spark.createDataFrame([(n,) for n in [*names, "never"]], "topic string")
     parts = [d.select("id", "topics") for d in (train, test)]
     got = {(r["id"], r["topic"]): (r["mnb"], r["bnb"]) for r in bayes.topic_predictions(*parts, *counts, topics, "id").collect()}
+    carried = [features.term_counts(train, "id", F.split("text", " "), keep=["topics"]), counts[1]]
+    again = bayes.topic_predictions(*parts, *carried, topics.union(spark.sql("SELECT CAST(NULL AS string)")), "id")
+    assert {(r["id"], r["topic"]): (r["mnb"], r["bnb"]) for r in again.collect() if r["topic"]} == got
     for name in names:
         labelled = train.select("id", F.array_contains("topics", name).cast("int").alias("label"))
         mnb = bayes.predict(bayes.scores(bayes.fit_multinomial(labelled, counts[0], "id"), test, counts[1], "id"), "id")

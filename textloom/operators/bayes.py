@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textloom.operators.ordering import top_per_group
-from textloom.operators.skew import lookup_join, packed_rows
+from textloom.operators.skew import packed_rows, small_join
 from textloom.session import cut_lineage
 
 
@@ -101,9 +101,10 @@ def scores(model: BayesModel, docs: DataFrame, counts: DataFrame, id_column: str
     """Rows (id, ``label``, ``score``) for every document and class, documents without known terms too.
 
     A known term gives one row for each class that saw it, and one for its weight, not one per class: what the
-    other classes give it is ``unseen`` times the weight, which is summed up once per document.
+    other classes give it is ``unseen`` times the weight, which is summed up once per document. The counts are read once: a stored
+    model that fits is sent to them, so that a document's terms are added up in the task that counted them.
     """
-    known = lookup_join(counts.select(id_column, "term", value), model.terms.drop("df"), ["term"], None, [id_column])
+    known = small_join(counts.select(id_column, "term", value), model.terms.drop("df"), ["term"], [id_column], stored=True)
     entries = F.transform(F.map_entries("extra"), lambda e: F.struct(e["key"].alias("label"), (F.col(value) * e["value"]).alias("part")))
     # The weight goes under no label.
     weight = F.transform(F.slice(entries, 1, 1), lambda e: F.struct(F.nullif(e["label"], e["label"]).alias("label"), F.col(value).cast("double").alias("part")))
@@ -144,7 +145,8 @@ def topic_predictions(
 ) -> DataFrame:
     """One-against-rest predictions for all ``topics`` by both models, fitted in one pass.
 
-    ``train`` and ``test`` are (id, ``topics`` array); ``topics`` is a short table (``topic``).
+    ``train`` and ``test`` are (id, ``topics`` array); ``topics`` is a short table (``topic``). Training counts that carry their
+    ``topics`` need no join.
     Result rows: (id, ``topic``, ``actual``, ``mnb``, ``bnb``).
 
     Class 1 is counted per topic and term; class 0 is what is left of the term's total. The
@@ -153,18 +155,23 @@ def topic_predictions(
     """
     wanted = train.withColumn("_wanted", packed_rows(topics, ["topic"]))
     listed = wanted.select(id_column, F.array_intersect("topics", F.col("_wanted.topic")).alias("_topics"))
-    n_train = train.agg(F.count(F.lit(1))).scalar()
-    counted = train_counts.join(listed, id_column)
-    totals = counted.groupBy("term").agg(F.sum("tf").alias("s"), F.count(F.lit(1)).alias("d"))
-    mine = counted.select(F.explode("_topics").alias("topic"), "term", "tf")
-    mine = mine.groupBy("topic", "term").agg(F.sum("tf").alias("s1"), F.count(F.lit(1)).alias("d1"))
-    entry = F.struct("topic", F.struct("s1", "d1").alias("c"))
-    by_term = mine.groupBy("term").agg(F.map_from_entries(F.collect_list(entry)).alias("seen"))
-    terms = totals.join(by_term, "term", "left")
+    # Every count goes under its topics and under no topic, so totals and topics come from one pass; the training counts are read once.
+    if "topics" in train_counts.columns:
+        counted = train_counts.withColumn("_wanted", packed_rows(topics, ["topic"]))
+        counted = counted.select("term", "tf", F.array_intersect("topics", F.col("_wanted.topic")).alias("_topics"))
+    else:
+        counted = train_counts.join(listed, id_column)
+    no_topic = F.array(F.lit(None).cast(topics.schema["topic"].dataType))
+    places = F.concat(no_topic, F.filter(F.coalesce("_topics", F.array()), lambda x: x.isNotNull()))
+    met_by = counted.select("term", "tf", F.explode(places).alias("topic")).groupBy("term", "topic").agg(F.sum("tf").alias("s"), F.count(F.lit(1)).alias("d"))
+    entry = F.when(F.col("topic").isNotNull(), F.struct("topic", F.struct(F.col("s").alias("s1"), F.col("d").alias("d1")).alias("c")))
+    total = [F.max(F.when(F.col("topic").isNull(), F.col(c))).alias(c) for c in ("s", "d")]
+    terms = cut_lineage(met_by.groupBy("term").agg(*total, F.map_from_entries(F.collect_list(entry)).alias("seen")))
 
+    n_train = train.agg(F.count(F.lit(1))).scalar()
     sizes = listed.select(F.explode("_topics").alias("topic")).groupBy("topic").agg(F.count(F.lit(1)).alias("n1"))
-    ones = mine.groupBy("topic").agg(F.sum("s1").alias("t1"))
-    overall = totals.agg(F.sum("s").alias("t"), F.count(F.lit(1)).alias("v"))
+    ones = terms.select(F.explode("seen").alias("topic", "c")).groupBy("topic").agg(F.sum("c.s1").alias("t1"))
+    overall = terms.agg(F.sum("s").alias("t"), F.count(F.lit(1)).alias("v"))
     n1 = F.coalesce("n1", F.lit(0))
     facts = topics.join(sizes, "topic", "left").join(ones, "topic", "left").select(
         "topic",
@@ -174,6 +181,7 @@ def topic_predictions(
         overall.select("t").scalar().alias("t"),
         overall.select("v").scalar().alias("v"),
     )
+    facts = cut_lineage(facts)
     packed = packed_rows(facts, ["topic", "n1", "n0", "t1", "t", "v"])
 
     def met(name: str, topic: Column) -> Column:
@@ -206,7 +214,7 @@ def topic_predictions(
         bnb = F.log((d1 + 1) / (t["n1"] - d1 + 1)) - F.log((d0 + 1) / (t["n0"] - d0 + 1))
         return F.struct(t["topic"].alias("topic"), (F.col("tf") * mnb).alias("mnb"), bnb.alias("bnb"))
 
-    known = lookup_join(test_counts, terms, ["term"], None, [id_column])
+    known = small_join(test_counts.select(id_column, "term", "tf"), terms, ["term"], [id_column], stored=True)
     parts = known.withColumn("_facts", packed).select(id_column, F.inline(F.transform("_facts", term_parts)))
     starts = test.select(id_column, F.inline(bases))
     sums = starts.unionByName(parts).groupBy(id_column, "topic").agg(F.sum("mnb").alias("mnb"), F.sum("bnb").alias("bnb"))

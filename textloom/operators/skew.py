@@ -14,8 +14,9 @@ from textloom.session import cut_lineage
 
 HOT_KEYS = 1000
 SALTS = 32
-# Rows of a few short columns that are broadcast after counting them.
-MOST_BROADCAST = 100_000
+# Tables up to this size, as text, are broadcast after measuring them, whatever the number of their rows up to the second limit.
+MOST_BYTES = 64 << 20
+MOST_BROADCAST = 1_000_000
 
 
 def _spread(by: Sequence[str], buckets: int) -> Column:
@@ -86,19 +87,34 @@ def salted_join(
 
 
 def small_join(
-    fact: DataFrame, dim: DataFrame, on: Sequence[str], spread_by: Sequence[str], how: str = "inner", most: int = MOST_BROADCAST
+    fact: DataFrame,
+    dim: DataFrame,
+    on: Sequence[str],
+    spread_by: Sequence[str],
+    how: str = "inner",
+    most: int = MOST_BROADCAST,
+    most_bytes: int = MOST_BYTES,
+    stored: bool = False,
 ) -> DataFrame:
     """Join a large ``fact`` to a ``dim`` that should be small.
 
-    ``dim`` is worked out once and counted. Up to ``most`` rows it is broadcast and ``fact`` stays
-    where it is; beyond that both are shuffled with salted keys.
+    ``dim`` is worked out once (``stored`` says that it has been written already) and measured in one pass. Up to ``most`` rows and ``most_bytes`` bytes
+    as text it is broadcast and ``fact`` stays where it is; beyond that both are shuffled with salted keys. ``fact`` is
+    neither counted nor sampled.
     """
-    dim = cut_lineage(dim)
-    if dim.limit(most + 1).count() <= most:
+    dim = dim if stored else cut_lineage(dim)
+    if fits(dim, most, most_bytes):
         return fact.join(F.broadcast(dim), list(on), how)
     return salted_join(fact, dim, on, spread_by, how)
 
 
+def fits(table: DataFrame, most: int, most_bytes: int) -> bool:
+    """Whether a table has at most so many rows and bytes, written as text; long strings, arrays and maps count with what they hold."""
+    size = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in table.columns])))
+    rows, held = table.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
+    return rows <= most and held <= most_bytes
+
+
 def packed_rows(df: DataFrame, columns: Sequence[str], limit: int = 10_000) -> Column:
     """A small table as one array column, sorted by ``columns``; fails above ``limit`` rows.
 

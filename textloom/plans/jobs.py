@@ -112,7 +112,7 @@ def topic_nb_job(records: DataFrame, k: int = 10) -> dict[str, DataFrame]:
     present = records.dropna(subset=["body_text"]).withColumn("topics", t.topic_list("topics"))
     topics = frequency.top_labels(present, F.col("topics"), k, "topic").select("topic")
     parts = {name: present.filter(F.col("lewissplit") == name) for name in news.SPLITS}
-    counts = {name: features.term_counts(part, "id", text="body_text") for name, part in parts.items()}
+    counts = {name: features.term_counts(part, "id", text="body_text", keep=["topics"]) for name, part in parts.items()}
     labelled = {name: part.select("id", "topics") for name, part in parts.items()}
     predictions = bayes.topic_predictions(
         labelled["TRAIN"], labelled["TEST"], counts["TRAIN"], counts["TEST"], topics, "id"

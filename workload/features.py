@@ -309,7 +309,7 @@ def _topic_predictions(spark, sf_dir):
 
     topics = frequency.top_labels(docs, F.col("topics"), 10, "topic").select("topic")
     train, test = docs.filter("NOT is_test"), docs.filter("is_test")
-    counts = [features.term_counts(part, "doc_id") for part in (train, test)]
+    counts = [features.term_counts(train, "doc_id", keep=["topics"]), features.term_counts(test, "doc_id")]
     return bayes.topic_predictions(train.select("doc_id", "topics"), test.select("doc_id", "topics"), *counts, topics, "doc_id")
 
 
