@@ -87,6 +87,24 @@ def test_generate_is_repeatable_and_follows_the_model(docs, spark):
     assert followers.most_common(1)[0][0] == "cat"
 
 
+@pytest.mark.parametrize("kind", ["even", "ties", "wide"])
+def test_percentiles_from_brackets(spark, kind):
+    rng = random.Random(5)
+    draw = {"even": lambda: rng.random(), "ties": lambda: float(rng.randint(0, 3)), "wide": lambda: rng.gauss(0, 1) * 10 ** rng.randint(-9, 9)}[kind]
+    values = [draw() for _ in range(4000)] + [math.inf, -math.inf] * 3
+    df = spark.createDataFrame([(v,) for v in [*values, None]], "v double").repartition(5)
+    shares = [0.0, 0.25, 0.26, 0.5, 0.75, 1.0]
+    got = {r["share"]: r["value"] for r in ordering.percentiles(df, "v", shares, 16, accuracy=100).collect()}
+    assert got == {s: pytest.approx(float(np.percentile(values, s * 100)), rel=1e-12) for s in shares[1:-1]} | {0.0: -math.inf, 1.0: math.inf}
+    inside = df.filter("v IS NOT NULL").withColumnRenamed("v", "_v")
+    left = inside.select(ordering._outside_brackets(inside, [0.5], 100).alias("x")).distinct().count()
+    assert kind == "ties" or left < 600
+    # NaN counts as the highest value.
+    nans = spark.createDataFrame([(float(v),) for v in range(1500)] + [(math.nan,)] * 1500, "v double")
+    high = {r["share"]: r["value"] for r in ordering.percentiles(nans, "v", [0.25, 0.9], 16, accuracy=100).collect()}
+    assert high[0.25] == 749.75 and math.isnan(high[0.9])
+
+
 def test_row_numbers_neighbours_and_percentiles(spark):
     rng = random.Random(1)
     values = [rng.choice([1.5, rng.randint(0, 50), rng.random() * 100]) for _ in range(997)]

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -107,14 +109,14 @@ def top_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column |
     return ranked.filter(F.col(name) <= k)
 
 
-def percentiles(df: DataFrame, column: str, shares: Sequence[float], ranges: int = 1024) -> DataFrame:
+def percentiles(df: DataFrame, column: str, shares: Sequence[float], ranges: int = 1024, accuracy: int = 10_000) -> DataFrame:
     """Exact interpolated percentiles as rows (``share``, ``value``).
 
-    Equal values are counted first, then the distinct values are cut into ranges, and only
-    the ranges that hold a wanted position are sorted.
+    A sketch of the values brackets the wanted positions first. Values outside of the brackets only count as so many rows below
+    or above, so what is grouped by value, cut into ranges and sorted are the brackets alone, some 6/``accuracy`` of the rows each.
     """
-    counts = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).cast("double").alias("_v"))
-    counts = counts.agg(F.count(F.lit(1)).alias("_n"))
+    values = df.filter(F.col(column).isNotNull()).select(F.col(column).cast("double").alias("_v"))
+    counts = values.select(_outside_brackets(values, shares, accuracy).alias("_v")).groupBy("_v").agg(F.count(F.lit(1)).alias("_n"))
     ranged = _with_range(counts, "_v", ranges)
     sizes = ranged.groupBy("_range").agg(F.sum("_n").alias("_size"))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
@@ -138,8 +140,32 @@ def percentiles(df: DataFrame, column: str, shares: Sequence[float], ranges: int
     upto = needed.withColumn("_upto", F.col("_before") + so_far).drop("_before")
     inside = (F.col("_position") < F.col("_upto")) & (F.col("_position") >= F.col("_upto") - F.col("_n"))
     found = upto.join(F.broadcast(places.drop("_before", "_size")), "_range").filter(inside)
-    low = F.min("_v")
-    return found.groupBy("share").agg((low + (F.max("_v") - low) * F.min("_part")).alias("value"))
+    low, high = F.min("_v"), F.max("_v")
+    # Infinite values have no difference.
+    return found.groupBy("share").agg(F.when(low == high, low).otherwise(low + (high - low) * F.min("_part")).alias("value"))
+
+
+def _outside_brackets(values: DataFrame, shares: Sequence[float], accuracy: int) -> Column:
+    """``_v`` inside of the brackets, one value per gap between them outside.
+
+    The sketch errs by one in ``accuracy`` of the rows, a bracket reaches three in ``accuracy`` to both sides; in tables too small for
+    that to be many rows every value stays. The brackets are fixed numbers in the plan, so that all its parts see the same ones.
+    """
+    # NaN is above all numbers, as in sorting.
+    value = F.nanvl("_v", F.lit(float("inf")))
+    margin = 3 / accuracy
+    ends = sorted((max(0.0, s - margin), min(1.0, s + margin)) for s in shares)
+    n, found = values.agg(F.count(F.lit(1)), F.percentile_approx(value, [x for pair in ends for x in pair], accuracy)).first()
+    if n <= 10 * accuracy:
+        return F.col("_v")
+    brackets = list(zip(found[::2], found[1::2]))
+    inside = [value.between(low, high) for low, high in brackets]
+    place = F.when(reduce(or_, inside), F.col("_v"))
+    # A gap counts under the number halfway between its brackets.
+    for i, (low, _) in enumerate(brackets):
+        between = brackets[i - 1][1] / 2 + low / 2 if i else float("-inf")
+        place = place.when(value < low, F.lit(0.0 if math.isnan(between) else between))
+    return place.otherwise(F.lit(float("nan")))
 
 
 def smallest_share(
