@@ -191,6 +191,16 @@ def test_key_join_keeps_fan_out(spark):
     assert match.key_join(left, right, ["id"]).count() == 10
 
 
+def test_matches_are_counted_without_making_them_up(spark):
+    """Two million matches of three rows each stay three rows with a number."""
+    left = spark.createDataFrame([(i, "t", "a") for i in range(3)] + [(9, None, "a")], "id bigint, title_clean string, artist_clean string")
+    right = spark.range(2_000_000).selectExpr("'t' AS title_clean", "'a' AS artist_clean")
+    matched = match.weighted_join(left, right, ["id"])
+    assert sorted((r["id"], r["repeats"]) for r in matched.collect()) == [(i, 2_000_000) for i in range(3)]
+    summary = match.match_summary(left, right, matched, repeats="repeats").collect()[0]
+    assert (summary["n_rows"], summary["n_matched"], summary["n_matched_distinct"], summary["match_rate"]) == (4, 6_000_000, 1, 100.0)
+
+
 def test_bpe_equals_the_library(spark):
     tokenizers = pytest.importorskip("tokenizers")
     rng = random.Random(5)

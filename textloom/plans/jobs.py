@@ -188,7 +188,7 @@ def lyrics_match_job(lyrics: DataFrame, ranked: DataFrame) -> dict[str, DataFram
     return {
         "funnel": profile.funnel(typed, lyrics_steps()),
         "matched": matched,
-        "summary": match.match_summary(keyed, charted, matched),
+        "summary": match.match_summary(keyed, charted, match.weighted_join(keyed, charted, ["lyrics"]), repeats="repeats"),
     }
 
 
