@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from textloom.functions import text as t
 from textloom.functions import vectors
-from textloom.operators import bayes, bpe, embed, features, frequency, generate, lemma, match, metrics, ngram, ordering, profile, skew
+from textloom.operators import bayes, bpe, embed, features, frequency, generate, lemma, linear, match, metrics, ngram, ordering, profile, skew
 
 DOCS = [
     (1, "The cat sat. The cat ran! A dog sat on the cat?"),
@@ -191,6 +191,29 @@ def test_key_join_keeps_fan_out(spark):
     assert match.key_join(left, right, ["id"]).count() == 10
 
 
+def test_contexts_are_joined_outside_array_functions(spark):
+    """n-grams are laid out and joined in compiled code, not by a function per array element."""
+    table = spark.createDataFrame([(1, ["a", "b", "c", "d"]), (2, ["a"]), (3, None)], "doc_id bigint, tokens array<string>")
+    grams = ngram.ngrams(table, 3)
+    assert sorted(tuple(r) for r in grams.collect()) == [("a b", "c"), ("b c", "d")]
+    assert "lambda" not in grams._jdf.queryExecution().executedPlan().toString()
+
+
+def test_classifiers_keep_texts_not_their_ngrams(spark, monkeypatch):
+    rows = [(i, "one two three" if i % 2 else "four five six", "ab"[i % 2]) for i in range(20)]
+    train = spark.createDataFrame(rows, "id bigint, text string, label string")
+    stored, persist = [], type(train).persist
+
+    def noted(df, *args):
+        stored.append(df.columns)
+        return persist(df, *args)
+
+    monkeypatch.setattr(type(train), "persist", noted)
+    model = linear.fit_classifier(train, "naive_bayes", "id", "text", "label", 100, (1, 3))
+    assert stored and not any("terms" in columns for columns in stored)
+    assert all(r["predicted"] == r["label"] for r in linear.classify(model, train, "text", (1, 3)).collect())
+
+
 def test_matches_are_counted_without_making_them_up(spark):
     """Two million matches of three rows each stay three rows with a number."""
     left = spark.createDataFrame([(i, "t", "a") for i in range(3)] + [(9, None, "a")], "id bigint, title_clean string, artist_clean string")
