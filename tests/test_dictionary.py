@@ -90,3 +90,30 @@ def test_tfidf_within_rows(spark):
     plan = features.tfidf_rows(df, "id", F.col("words"), vocabulary, df.agg(F.count("*")), 12)
     # Nothing is shuffled by document.
     assert "hashpartitioning(id" not in plan._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("buckets", [4, 64, 1 << 22])
+def test_capped_vocabulary_counts_the_terms_of_heavy_buckets_only(spark, monkeypatch, buckets):
+    """Whatever the buckets, the terms are those of plain counting; with enough of them most terms are not counted one by one."""
+    monkeypatch.setattr(features, "BUCKETS", buckets)
+    reached, totals = [], features._totals
+    monkeypatch.setattr(features, "_totals", lambda counts: reached.append(counts.select("term").distinct().count()) or totals(counts))
+    words = [f"often{i % 40}" for i in range(4000)] + [f"rare{i}" for i in range(900)] + ["twice", "twice"]
+    rows = [(i // 10, w) for i, w in enumerate(words)] + [(1, "often3"), (None, "often5")]
+    df = spark.createDataFrame(rows, "id long, word string").groupBy("id").agg(F.collect_list("word").alias("words"))
+    counts = features.term_counts(df, "id", F.col("words"))
+    plain = {}
+    for i, w in rows:
+        plain.setdefault(w, []).append(i)
+    order = sorted(plain, key=lambda w: (-len(plain[w]), w))
+    for k in (12, 41, 2000):
+        got = features.learn_vocabulary(counts, k).collect()
+        assert sorted(((r.term, r.total, r.df) for r in got), key=lambda r: (-r[1], r[0])) == [(w, len(plain[w]), len(set(plain[w]))) for w in order[:k]]
+    assert buckets == 4 or reached[0] < 700
+
+
+def test_weights_keep_columns(spark):
+    df = spark.createDataFrame([(1, "x", ["a", "b"]), (1, "y", ["b"])], "id long, label string, words array<string>")
+    vocabulary = features.learn_vocabulary(features.term_counts(df, "id", F.col("words")), 2)
+    got = features.tfidf_rows(df, "id", F.col("words"), vocabulary, df.agg(F.count("*")), 2, ["label"]).collect()
+    assert sorted((r.id, r.label, r.term) for r in got) == [(1, "x", "a"), (1, "x", "b"), (1, "y", "b")]
