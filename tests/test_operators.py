@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from textloom.functions import text as t
 from textloom.functions import vectors
 from textloom.operators import bayes, bpe, embed, features, frequency, generate, lemma, linear, match, metrics, ngram, ordering, profile, skew
+from textloom.plans import jobs
 
 DOCS = [
     (1, "The cat sat. The cat ran! A dog sat on the cat?"),
@@ -87,6 +89,31 @@ def test_generate_is_repeatable_and_follows_the_model(docs, spark):
     assert followers.most_common(1)[0][0] == "cat"
 
 
+def test_walks_go_to_stored_slots(docs, spark, monkeypatch):
+    """The model is dealt out once: a step shuffles walks, not the model."""
+    plans, cut = [], generate.cut_lineage
+    monkeypatch.setattr(generate, "cut_lineage", lambda df: plans.append((df.columns, str(df._jdf.queryExecution().executedPlan()))) or cut(df))
+    counts = ngram.ngram_counts(ngram.token_rows(docs, "doc_id", "text"), 2)
+    starts = spark.createDataFrame([(i, "the") for i in range(20)] + [(900, None)], "walk bigint, context string")
+    found = generate.generate(counts, starts, 2, max_length=3).collect()
+    assert sorted(r["walk"] for r in found) == [*range(20), 900] and [r["sentence"] for r in found if r["walk"] == 900] == [None]
+    steps = [plan.split("InMemoryRelation")[0] for columns, plan in plans if columns == ["walk", "context", "sentence"]][1:]
+    assert len(steps) == 3 and all(len(re.findall(r"Exchange hashpartitioning\(context#\d+, slot#", step)) == 1 and "InMemoryTableScan" in step for step in steps)
+
+
+def test_language_models_are_joined_once(spark, monkeypatch):
+    """Both probabilities come from one stored model; nothing is joined again for the smoothed one."""
+    joined, join = [], ngram.lookup_join
+    monkeypatch.setattr(ngram, "lookup_join", lambda *args: joined.append(1) or join(*args))
+    docs = spark.createDataFrame([(1, "a b. a c."), (2, "a b"), (3, None)], "doc_id bigint, text string")
+    contexts, starts = spark.createDataFrame([("a",)], "context string"), spark.createDataFrame([(1, "a")], "walk bigint, context string")
+    result = jobs.language_model_job(docs, contexts, starts, 2)
+    assert len(joined) == 2
+    got = {(r["context"], r["next"]): (r["n"], r["ctx_n"], r["p"]) for r in result["bigram_laplace"].collect()}
+    assert got[("a", "b")] == (2, 3, 3 / 7) and got[("a", "c")] == (1, 3, 2 / 7)
+    assert {(r["context"], r["next"]): r["p"] for r in result["bigram"].collect()}[("a", "b")] == 2 / 3
+
+
 @pytest.mark.parametrize("kind", ["even", "ties", "wide"])
 def test_percentiles_from_brackets(spark, kind):
     rng = random.Random(5)
