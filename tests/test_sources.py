@@ -90,6 +90,20 @@ def test_csv_and_texts(spark, tmp_path):
     assert {r["doc_id"]: r["value"] for r in back.collect()} == {"b1": "one\ntwo\n\n", "b2": "three\n"}
 
 
+def test_text_files_are_written_by_all_tasks(spark, tmp_path):
+    """A table of one partition is dealt out; ids are escaped, an id's rows share a file, missing texts are empty lines."""
+    rows = [(str(i), f"text {i}") for i in range(200)] + [("a/b=c:%", "odd"), ("7", "again"), (None, "no id"), ("", None), ("x", None)]
+    table = spark.createDataFrame(rows, "doc_id string, text string").coalesce(1)
+    files.write_text_files(table, f"file:{tmp_path / 'new'}")
+    found = {p.parent.name: p.read_text() for p in (tmp_path / "new").rglob("*.txt")}
+    table.withColumnRenamed("text", "value").write.partitionBy("doc_id").text(str(tmp_path / "old"))
+    assert found == {p.parent.name: p.read_text() for p in (tmp_path / "old").rglob("*.txt")}
+    assert len(found) == 203 and found["doc_id=7"] == "text 7\nagain\n"
+    assert all(p.name == "part-0.txt" for p in (tmp_path / "new").rglob("*") if p.is_file())
+    with pytest.raises(FileExistsError):
+        files.write_text_files(table, str(tmp_path / "new"))
+
+
 def test_catalogue_links(spark):
     html = '<h2 id="other">x</h2><ol><li><a href="/no">n</a></li></ol><h2 id="books-last30">T</h2><p></p><ol><li><a href="/e/1">1</a> <a href="/z">z</a></li><li>none</li><li><a href="e/2">2</a></li></ol><ol><li><a href="/3">3</a></li></ol>'
     df = spark.createDataFrame([("http://h.example/top/", html)], "url string, html string")
