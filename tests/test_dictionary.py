@@ -53,6 +53,17 @@ def test_cut_within_the_row(corpus, least):
     assert "Join" not in plan and "Window" not in plan
 
 
+@pytest.mark.parametrize("frequent", [1, 4, 23, 1000])
+def test_any_number_of_terms_looked_up_within_rows(spark, frequent):
+    """Rows come back whole whatever the number of terms sent to them, and only places of other terms are shuffled."""
+    df = spark.createDataFrame([*ROWS, (100, 5, ["rare", "hot", "rare"]), (None, 0, ["q", "only"])], "id long, part int, words array<string>").repartition(3)
+    found = dictionary.encode_corpus(df, "id", F.col("words"), F.col("part") != 1, ["part"], frequent)
+    numbers = {r.term: r.number for r in found.terms.collect()}
+    got = sorted((r.id or -1, r.part or 0, r.tokens, r.numbers) for r in found.rows.collect())
+    words = lambda ws: [w for w in ws or [] if w is not None]
+    assert got == sorted((r.id or -1, r.part or 0, words(r.words), [numbers[w] for w in words(r.words)]) for r in df.collect())
+
+
 def test_empty_corpus(spark):
     df = spark.createDataFrame([], "id long, words array<string>")
     found = dictionary.encode_corpus(df, "id", F.col("words"))
