@@ -128,3 +128,13 @@ def test_weights_keep_columns(spark):
     vocabulary = features.learn_vocabulary(features.term_counts(df, "id", F.col("words")), 2)
     got = features.tfidf_rows(df, "id", F.col("words"), vocabulary, df.agg(F.count("*")), 2, ["label"]).collect()
     assert sorted((r.id, r.label, r.term) for r in got) == [(1, "x", "a"), (1, "x", "b"), (1, "y", "b")]
+
+
+def test_large_model_is_not_repeated_per_salt(spark, monkeypatch):
+    """A model too large to be sent meets the counts by its rows once; heavy keys and the result are as with the small one."""
+    fact = spark.createDataFrame([(i, f"k{i % 5 if i % 2 else i % 40}") for i in range(300)] + [(300, None), (301, "none")], "id long, key string")
+    dim = spark.createDataFrame([(f"k{i}", i, 10 - i) for i in range(30)], "key string, v int, n int")
+    wanted = sorted(tuple(r) for r in skew.small_join(fact, dim, ["key"], ["id"], weight="n").collect())
+    monkeypatch.setattr(skew, "salted_join", None)
+    got = skew.small_join(fact, dim, ["key"], ["id"], most=10, weight="n")
+    assert got.columns == ["id", "key", "v"] and sorted((r.key, r.id, r.v) for r in got.collect()) == wanted

@@ -9,11 +9,13 @@ Priors are not smoothed.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from textloom.functions.text import bind
 from textloom.operators.ordering import top_per_group
 from textloom.operators.skew import packed_rows, small_join
 from textloom.session import cut_lineage
@@ -104,7 +106,7 @@ def scores(model: BayesModel, docs: DataFrame, counts: DataFrame, id_column: str
     other classes give it is ``unseen`` times the weight, which is summed up once per document. The counts are read once: a stored
     model that fits is sent to them, so that a document's terms are added up in the task that counted them.
     """
-    known = small_join(counts.select(id_column, "term", value), model.terms.drop("df"), ["term"], [id_column], stored=True)
+    known = small_join(counts.select(id_column, "term", value), model.terms, ["term"], [id_column], stored=True, weight="df")
     entries = F.transform(F.map_entries("extra"), lambda e: F.struct(e["key"].alias("label"), (F.col(value) * e["value"]).alias("part")))
     # The weight goes under no label.
     weight = F.transform(F.slice(entries, 1, 1), lambda e: F.struct(F.nullif(e["label"], e["label"]).alias("label"), F.col(value).cast("double").alias("part")))
@@ -163,7 +165,9 @@ def topic_predictions(
         counted = train_counts.join(listed, id_column)
     no_topic = F.array(F.lit(None).cast(topics.schema["topic"].dataType))
     places = F.concat(no_topic, F.filter(F.coalesce("_topics", F.array()), lambda x: x.isNotNull()))
-    met_by = counted.select("term", "tf", F.explode(places).alias("topic")).groupBy("term", "topic").agg(F.sum("tf").alias("s"), F.count(F.lit(1)).alias("d"))
+    # Documents with the same topics are added up before a count goes under each of them, so the counts themselves are not multiplied.
+    alike = counted.groupBy("term", "_topics").agg(F.sum("tf").alias("s"), F.count(F.lit(1)).alias("d")).repartition("term")
+    met_by = alike.select("term", "s", "d", F.explode(places).alias("topic")).groupBy("term", "topic").agg(F.sum("s").alias("s"), F.sum("d").alias("d"))
     entry = F.when(F.col("topic").isNotNull(), F.struct("topic", F.struct(F.col("s").alias("s1"), F.col("d").alias("d1")).alias("c")))
     total = [F.max(F.when(F.col("topic").isNull(), F.col(c))).alias(c) for c in ("s", "d")]
     terms = cut_lineage(met_by.groupBy("term").agg(*total, F.map_from_entries(F.collect_list(entry)).alias("seen")))
@@ -184,14 +188,15 @@ def topic_predictions(
     facts = cut_lineage(facts)
     packed = packed_rows(facts, ["topic", "n1", "n0", "t1", "t", "v"])
 
-    def met(name: str, topic: Column) -> Column:
-        return F.coalesce(F.col("seen")[topic][name], F.lit(0))
+    def with_met(t: Column, use: Callable[[Column, Column], Column]) -> Column:
+        """``use`` of the term's summed values and documents in a topic, looked up once."""
+        zero = F.lit(0).cast("bigint")
+        return bind(F.col("seen")[t["topic"]], lambda c: use(F.coalesce(c["s1"], zero), F.coalesce(c["d1"], zero)))
 
     def absent(t: Column) -> Column:
-        d1 = met("d1", t["topic"])
-        one = (t["n1"] - d1 + 1) / (t["n1"] + 2)
-        rest = (t["n0"] - (F.col("d") - d1) + 1) / (t["n0"] + 2)
-        return F.log(one) - F.log(rest)
+        one = lambda d1: (t["n1"] - d1 + 1) / (t["n1"] + 2)
+        rest = lambda d1: (t["n0"] - (F.col("d") - d1) + 1) / (t["n0"] + 2)
+        return with_met(t, lambda s1, d1: F.log(one(d1)) - F.log(rest(d1)))
 
     penalties = terms.withColumn("_facts", packed).select(
         F.inline(F.transform("_facts", lambda t: F.struct(t["topic"].alias("topic"), absent(t).alias("absent"))))
@@ -207,14 +212,17 @@ def topic_predictions(
     )
 
     def term_parts(t: Column) -> Column:
-        s1, d1 = met("s1", t["topic"]), met("d1", t["topic"])
-        d0 = F.col("d") - d1
-        total1, total0 = t["t1"] + t["v"], t["t"] - t["t1"] + t["v"]
-        mnb = F.log((s1 + 1) / total1) - F.log((F.col("s") - s1 + 1) / total0)
-        bnb = F.log((d1 + 1) / (t["n1"] - d1 + 1)) - F.log((d0 + 1) / (t["n0"] - d0 + 1))
-        return F.struct(t["topic"].alias("topic"), (F.col("tf") * mnb).alias("mnb"), bnb.alias("bnb"))
-
-    known = small_join(test_counts.select(id_column, "term", "tf"), terms, ["term"], [id_column], stored=True)
+        def parts(s1: Column, d1: Column) -> Column:
+            d0 = F.col("d") - d1
+            total1, total0 = t["t1"] + t["v"], t["t"] - t["t1"] + t["v"]
+            mnb = F.log((s1 + 1) / total1) - F.log((F.col("s") - s1 + 1) / total0)
+            bnb = F.log((d1 + 1) / (t["n1"] - d1 + 1)) - F.log((d0 + 1) / (t["n0"] - d0 + 1))
+            return F.struct(t["topic"].alias("topic"), (F.col("tf") * mnb).alias("mnb"), bnb.alias("bnb"))
+
+        return with_met(t, parts)
+
+    weighed = terms.withColumn("_weight", F.col("d"))
+    known = small_join(test_counts.select(id_column, "term", "tf"), weighed, ["term"], [id_column], stored=True, weight="_weight")
     parts = known.withColumn("_facts", packed).select(id_column, F.inline(F.transform("_facts", term_parts)))
     starts = test.select(id_column, F.inline(bases))
     sums = starts.unionByName(parts).groupBy(id_column, "topic").agg(F.sum("mnb").alias("mnb"), F.sum("bnb").alias("bnb"))
