@@ -127,3 +127,62 @@ def test_recall_of_shingle_similarity(make):
     narrow = {r.doc_id for r in near_dup.one_per_group(docs).collect()}
     print(f"removed of {len(gone)}: {len(gone - narrow)} by 4 of 64 bits, {len(gone - wide)} by shingles")
     assert len(gone - narrow) < len(gone)
+
+
+def missed_by_bands(seed):
+    """Two texts of similarity 0.8: one word of 49 is another."""
+    rng = random.Random(seed)
+    text = [f"w{rng.randrange(5000)}" for _ in range(49)]
+    copy = list(text)
+    copy[rng.randrange(4, 45)] = "changed"
+    return " ".join(text), " ".join(copy)
+
+
+def test_no_similar_pair_is_left_out(make):
+    """Pairs that 16 bands of five minimum hashes never brought together."""
+    seeds = [106, 1237, 1285, 3296, 3413, 3424, 3503, 3665, 5209, 5409, 5908]
+    rows = [(2 * seed + i, text) for seed in seeds for i, text in enumerate(missed_by_bands(seed))]
+    assert all(jaccard(rows[i][1], rows[i + 1][1]) >= 0.8 for i in range(0, len(rows), 2))
+    docs = make(rows, "doc_id long, text string")
+    assert sorted(r.doc_id for r in near_dup.one_per_group(docs, least=0.8).collect()) == [2 * seed for seed in seeds]
+    assert sorted(r.doc_id for r in corpus_pipeline.near_duplicates(None, docs, "").collect()) == [2 * seed for seed in seeds]
+
+
+def test_similar_documents_like_brute_force(make):
+    """Groups of variants, common passages and very short texts; rows without text and id."""
+    rng = random.Random(8)
+    passage = [f"p{i}" for i in range(40)]
+    rows = []
+    for i in range(40):
+        words = [f"w{rng.randrange(300)}" for _ in range(rng.randrange(1, 60))]
+        words[len(words) // 2 : len(words) // 2] = passage if i % 2 else []
+        rows.append((10 * i, " ".join(words)))
+        for c in range(1, rng.randrange(1, 5)):
+            words[rng.randrange(len(words))] = f"w{rng.randrange(300)}"
+            rows.append((10 * i + c, " ".join(words)))
+    rows += [(1000, None), (1001, ""), (None, rows[5][1]), (3, rows[5][1]), (3, rows[5][1])]
+    for least in (0.5, 0.8, 1.0):
+        groups = Groups(range(len(rows)))
+        for i, j in combinations(range(len(rows)), 2):
+            if jaccard(rows[i][1] or "", rows[j][1] or "") >= least - 1e-9:
+                groups.join(i, j)
+        wanted = {}
+        for i, (doc, text) in enumerate(rows):
+            wanted.setdefault(groups.root(i), set()).add((doc, text or ""))
+        found = {}
+        texts = {r.h: r.text for r in make(rows, "doc_id long, text string").selectExpr("xxhash64(cast(text as binary)) h", "coalesce(text, '') text").collect()}
+        for r in near_dup.similar_documents(make(rows, "doc_id long, text string"), least=least).collect():
+            found.setdefault(r.root, set()).add((r.doc_id, texts[r.text_hash]))
+        assert sorted(map(sorted, map(lambda g: map(str, g), found.values()))) == sorted(map(sorted, map(lambda g: map(str, g), wanted.values())))
+
+
+def test_prefixes_of_similar_sets_meet():
+    rng = np.random.default_rng(3)
+    for _ in range(300):
+        n = int(rng.integers(1, 80))
+        a = np.unique(rng.integers(0, 1 << 63, n, np.uint64))
+        b = np.unique(np.concatenate([a[rng.random(len(a)) < 0.9], rng.integers(0, 1 << 63, int(rng.integers(0, 9)), np.uint64)]))
+        common = np.unique(rng.choice(a, len(a) // 2))
+        both = len(np.intersect1d(a, b))
+        if len(b) and both >= 0.8 * (len(a) + len(b) - both):
+            assert len(np.intersect1d(near_dup.prefix_keys(a, common, 0.8), near_dup.prefix_keys(b, common, 0.8)))

@@ -7,12 +7,13 @@ such lists means a quadratic number of pairs. The index therefore keys its lists
 shared positional bytes meets in a list. For pairs that meet, the shared positional bytes are tallied, pairs
 with at least four are retained, and those are verified on all bits.
 
-``similar_documents`` is the wider mode: documents whose sets of word shingles have a Jaccard similarity of at least 0.8. Bands of
-minimum hashes give the candidates, and whole shingle sets decide.
+``similar_documents`` is the wider mode: documents whose sets of word shingles have a Jaccard similarity of at least 0.8. Candidates
+share a shingle of their prefixes, which no such pair fails to do, and whole shingle sets decide.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations, repeat
 
@@ -29,9 +30,10 @@ BITS, BYTES = 64, 8
 BLOCK = 1024
 # Chance partners per list member from which on the lists are keyed on four bytes instead of three.
 CHANCE = 16
-# The wider mode: words of a shingle, bands, minimum hashes of a band. A pair of similarity 0.8 meets in a band with probability 0.998.
-WIDE_WORDS, BANDS, BAND = 5, 16, 5
-MIX = np.random.default_rng(42).integers(1, 1 << 63, (2, BANDS * BAND), np.uint64) | np.uint64(1)
+# The wider mode: words of a shingle; texts that say which shingles are common, and how many such shingles are told to tasks at most.
+WIDE_WORDS, ORDER_TEXTS, ORDER_MOST = 5, 4096, 1 << 18
+# Shingles in two or more prefixes that are broadcast at most, as 8-byte numbers; more are joined by a shuffle.
+MOST_KEYS = 3 << 20
 
 
 def fingerprint(text: bytes | None, words: int = 4, seed: int = 42) -> int:
@@ -196,13 +198,36 @@ def shingle_set(text: bytes | None, words: int = WIDE_WORDS, seed: int = 42) ->
     return np.unique(np.array([xxhash.xxh64_intdigest(b" ".join(tokens[i : i + k]), seed) for i in range(len(tokens) - k + 1)], np.uint64))
 
 
-def band_keys(shingles: np.ndarray) -> list[int]:
-    """A key per band: the hash of the smallest values that the band's functions take on the shingles."""
-    least = np.full(BANDS * BAND, np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(shingles), 4096):
-        mixed = (shingles[at : at + 4096, None] ^ MIX[0]) * MIX[1]
-        np.minimum(least, (mixed ^ (mixed >> np.uint64(32))).min(axis=0), out=least)
-    return [xxhash.xxh64_intdigest(part.tobytes(), i) - (1 << 63) for i, part in enumerate(least.reshape(BANDS, BAND))]
+def prefix_keys(shingles: np.ndarray, common: np.ndarray, least: float) -> np.ndarray:
+    """The first shingles in an order that all texts share: ascending, the ``common`` ones (ascending too) behind all others.
+
+    Two sets of similarity ``least`` or more have so many shingles in common that their prefixes share one.
+    """
+    n = len(shingles)
+    taken = n - math.ceil(least * n - 1e-6) + 1
+    at = np.searchsorted(common, shingles)
+    often = (common[np.minimum(at, len(common) - 1)] == shingles) if len(common) else np.zeros(n, bool)
+    return np.concatenate([shingles[~often], shingles[often]])[:taken]
+
+
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
+def common_shingles(marked: DataFrame, words: int = WIDE_WORDS, texts: int = ORDER_TEXTS, most: int = ORDER_MOST) -> np.ndarray:
+    """Shingles that more than one of about ``texts`` texts hold, ascending, ``most`` at most: which they are changes the work, never a result."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _slices(batches):
+            found = [shingle_set(t.as_py(), words).view(np.int64) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found), pa.int64())], ["shingle"])
+
+    drawn = marked.select("at", "_text").filter(F.pmod(F.xxhash64(F.lit(1), "at"), F.lit(-(-marked.count() // texts) or 1)) == 0)
+    counts = drawn.dropDuplicates(["at"]).mapInArrow(each, "shingle long").groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
+    often = counts.filter("n > 1").orderBy(F.desc("n"), "shingle").limit(most).toArrow()
+    return np.sort(often.column("shingle").to_numpy().view(np.uint64))
 
 
 def similar_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", least: float = 0.8, words: int = WIDE_WORDS) -> DataFrame:
@@ -210,34 +235,47 @@ def similar_documents(docs: DataFrame, id_column: str = "doc_id", text_column: s
 
     Similarity is the Jaccard similarity of the sets of word shingles. Texts without words are one group.
     """
+    if not 0 < least <= 1:
+        raise ValueError("least is above 0 and at most 1")
+    text = F.col(text_column).cast("binary")
+    marked = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.xxhash64(text).alias("at"), text.alias("_text"))
+    common = common_shingles(marked, words)
+    shared = docs.sparkSession.sparkContext.broadcast(common)
 
     def sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             sets = [shingle_set(t.as_py(), words) for t in batch.column(2)]
-            columns = [pa.array(list(map(len, sets)), pa.int64()), pa.array([band_keys(s) for s in sets], pa.list_(pa.int64()))]
+            keys = [prefix_keys(s, shared.value, least).view(np.int64) for s in sets]
+            columns = [pa.array(list(map(len, sets)), pa.int64()), pa.array(keys, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], ["doc_id", "at", "chars", "keys"])
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             found = [shingle_set(t.as_py(), words).view(np.int64) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], ["at", "shingles"])
 
-    text = F.col(text_column).cast("binary")
-    marked = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.xxhash64(text).alias("at"), text.alias("_text"))
     rows = stored(marked.mapInArrow(sketches, "doc_id long, at long, chars long, keys array<long>"), "sketches")
-    classes = rows.groupBy("at").agg(F.first("chars").alias("chars"), F.first("keys").alias("keys"))
+    # Nearly all shingles are in one text: only those in two or more go on, once for each text. Exact copies are one text.
+    postings = rows.select("at", "chars", F.explode("keys").alias("key"))
+    met = postings.groupBy("key").agg(F.min("at").alias("lo"), F.max("at").alias("hi")).filter("lo != hi").select("key")
+    postings = sized_join(postings, met, ["key"], "left_semi", MOST_KEYS).select("at", "chars", "key").distinct()
+
+    def enough(shared: Column, left: Column, right: Column) -> Column:
+        # Of the text whose prefix ends first, what the other holds is shared within the prefixes or behind its own.
+        behind = F.greatest(*[F.ceil(least * c - 1e-6) - 1 for c in (left, right)])
+        return shared + behind >= (left + right) * (least / (1 + least)) - 1e-6
 
     def verified(pairs: DataFrame) -> DataFrame:
         pairs = stored(pairs, "candidates")
         places = pairs.select(F.col("a").alias("at")).unionByName(pairs.select(F.col("b").alias("at"))).distinct()
-        texts = sized_join(marked.select("at", "_text"), places, ["at"], "left_semi").mapInArrow(sets, "at long, shingles array<long>")
-        texts = stored(texts.dropDuplicates(["at"]), "shingles")
+        texts = sized_join(marked.select("at", "_text"), places, ["at"], "left_semi").dropDuplicates(["at"])
+        texts = stored(texts.mapInArrow(sets, "at long, shingles array<long>"), "shingles")
         both = pairs.join(texts.select(F.col("at").alias("a"), F.col("shingles").alias("left")), "a")
         both = both.join(texts.select(F.col("at").alias("b"), F.col("shingles").alias("right")), "b")
         common = F.size(F.array_intersect("left", "right"))
         return both.filter(common >= F.lit(least) * (F.size("left") + F.size("right") - common) - 1e-9).select("a", "b")
 
-    found = connected_groups(listed_links(classes.select("at", "chars", F.explode("keys").alias("key")), verified, least))
+    found = connected_groups(listed_links(postings, verified, least, enough))
     rooted = rows.join(found.withColumnRenamed("node", "at"), "at", "left")
     return rooted.select("doc_id", F.col("at").alias("text_hash"), F.coalesce("root", "at").alias("root"))
 
